@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isarithm.llm import quality_rules
+from isarithm.llm import jaccard, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,8 +55,13 @@ FROM b
 """
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document at five words and 0.8."""
+    return jaccard.jaccard_classes(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_quality_rules": op4_quality_rules}
+    return {"op4_quality_rules": op4_quality_rules, "op8_jaccard_join": op8_jaccard_join}
 
 
 def oracle_sql() -> dict[str, str]:
