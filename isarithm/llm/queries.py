@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isarithm.llm import jaccard, quality_rules
+from isarithm.llm import jaccard, quality_rules, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,8 +60,13 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later occurrences of repeated passages."""
+    return substring.drop_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_sentences", "n_removed", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_quality_rules": op4_quality_rules, "op8_jaccard_join": op8_jaccard_join}
+    return {"op4_quality_rules": op4_quality_rules, "op8_jaccard_join": op8_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
