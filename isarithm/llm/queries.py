@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isarithm.llm import jaccard, quality_rules, substring
+from isarithm.llm import decontam, jaccard, quality_rules, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that align, with the share of the item's perfect score."""
+    return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's measures, base verdict and the v2 policy's verdict of every document."""
     rows = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
@@ -66,7 +71,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_quality_rules": op4_quality_rules, "op8_jaccard_join": op8_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_decontamination": op1_decontamination, "op4_quality_rules": op4_quality_rules, "op8_jaccard_join": op8_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
