@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from isarithm.llm import decontam, jaccard, quality_rules, substring
+from isarithm.llm import bpe, decontam, jaccard, quality_rules, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +61,20 @@ FROM b
 """
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file that the queries use; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every text's ids, and the digest of what they decode to."""
+    coded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), keep_text=False)
+    back = bpe.decode(coded, tokenizer_path())
+    return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document at five words and 0.8."""
     return jaccard.jaccard_classes(_table(spark, sf_dir, "documents"))
@@ -71,7 +86,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op4_quality_rules": op4_quality_rules, "op8_jaccard_join": op8_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_decontamination": op1_decontamination, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op8_jaccard_join": op8_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
