@@ -3,15 +3,15 @@
 A sentence ends after a word whose last byte is one of . ! ? (before a blank), before a line feed, or
 after MAX_WORDS words, so that unpunctuated text has sentences too. From every sentence the shortest
 run of at least RUN sentences and MIN_WORDS words is hashed, forwards and backwards, so that each
-sentence of a repeated passage lies in some run of it. Runs are joined globally on their hash; the
-first occurrence, by id and then place, stays, and every sentence under any other one is removed.
-Blanks between words do not count for equality; removed sentences take the blanks after them along.
+sentence of a repeated passage lies in some run of it. A document settles its own repetitions; its
+first run of each hash is joined globally on that hash. The first occurrence, by id and then place,
+stays, and every sentence under any other one is removed. Blanks between words do not count for
+equality; removed sentences take the blanks after them along.
 
 Defined cases: a null text stays null and an empty one empty; a text with fewer sentences or words
-than a run is never changed; rows without an id are returned unchanged and take part in nothing;
-rows that share an id are one document to the order of occurrences, and exact repetitions of such a
-row are treated alike; an empty table stays empty; all other columns pass through, whatever their
-names. Memory is bounded by the longest single text.
+than a run is never changed; rows without an id lose only their own repetitions; rows that share an
+id are one document to the order of occurrences, and exact repetitions of such a row are treated
+alike; an empty table stays empty; all other columns pass through, whatever their names. Memory is bounded by the longest single text.
 """
 
 from __future__ import annotations
@@ -74,6 +74,15 @@ def runs(w: W.Words, first: np.ndarray, least: int = RUN, words: int = MIN_WORDS
     return W.mix(((sums[b] - sums[a]) * under[a]) ^ ((b - a).astype(np.uint64) * W.ODD[309])), a, b
 
 
+def _once(h: np.ndarray, doc: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Mask of each document's first run of each hash."""
+    order = np.lexsort((a, h, doc))
+    same = (h[order][1:] == h[order][:-1]) & (doc[order][1:] == doc[order][:-1])
+    out = np.ones(len(h), bool)
+    out[order[1:][same]] = False
+    return out
+
+
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in W.pieces(batch, "text"):
@@ -83,6 +92,8 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bounds = np.searchsorted(first, w.first)
             doc = np.searchsorted(bounds, a, side="right") - 1
             ids = piece.column(0).to_numpy(zero_copy_only=False)
+            one = _once(h, doc, a)
+            h, a, b, doc = h[one], a[one], b[one], doc[one]
             at = ((a - bounds[doc]) << 16) | np.minimum(b - a, 65535)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[doc]), pa.array(at)], names=["h", "id", "at"])
 
@@ -98,6 +109,10 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = spans.flatten().to_numpy().astype(np.int64)
             owner = np.repeat(np.arange(piece.num_rows), np.asarray(spans.value_lengths().fill_null(0)))
             cover = np.zeros(len(first) + 1, np.int64)
+            h, a, b = runs(w, first)
+            again = ~_once(h, np.searchsorted(bounds, a, side="right"), a)
+            np.add.at(cover, a[again], 1)
+            np.add.at(cover, b[again], -1)
             a = bounds[owner] + (at >> 16)
             np.add.at(cover, a, 1)
             np.add.at(cover, a + (at & 65535), -1)
