@@ -81,14 +81,19 @@ def _covered(s: Column) -> Column:
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, MEASURES...): everything that the rules read, one pass over each whole text."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    return _measure(docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias("_text")), id_col)
+
+
+def _measure(rows: DataFrame, key: str) -> DataFrame:
+    """Measures of the column _text, beside the column `key`, which goes through as it is."""
+    text = F.coalesce(F.col("_text").cast("string"), F.lit(""))
     count = lambda pattern: F.regexp_count("_t", F.lit(pattern)).cast("long")
     lines_that = lambda holds: F.size(F.filter("_l", holds)).cast("long")
-    base = docs.select(F.col(id_col), text.alias("_t")).select(
-        id_col, "_t", F.array_remove(F.split("_t", BLANKS), "").alias("_w"), F.filter(F.split("_t", "\n", -1), lambda line: line.rlike(WORD_CHAR)).alias("_l")
+    base = rows.select(key, text.alias("_t")).select(
+        key, "_t", F.array_remove(F.split("_t", BLANKS), "").alias("_w"), F.filter(F.split("_t", "\n", -1), lambda line: line.rlike(WORD_CHAR)).alias("_l")
     )
     wide = base.select(
-        id_col,
+        key,
         F.size("_w").cast("long").alias("n_words"),
         (F.length("_t") - count(r"[\x20\x09-\x0D]")).alias("word_chars"),
         count(f"[{SYMBOLS}]").alias("n_symbols"),
@@ -105,16 +110,20 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.size(F.array_distinct("_h")) < F.size("_h"),
         _let(F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))), _covered),
     )
-    return wide.withColumn("n_repeat_words", F.coalesce(repeats, F.lit(0)).cast("long")).select(id_col, *MEASURES)
+    return wide.withColumn("n_repeat_words", F.coalesce(repeats, F.lit(0)).cast("long")).select(key, *MEASURES)
 
 
 def ledger(measured: DataFrame) -> DataFrame:
-    """The measured rows with fail_bits: bit i is set where RULES[i] fails."""
+    """The measured rows with fail_bits: bit i is set where RULES[i] fails.
+
+    The row number that is multiplied away makes the column one that the optimizer does not compute
+    again below a filter on it; without it a filter on a verdict repeats every measurement.
+    """
     bits = [F.when(F.expr(rule.fails), F.lit(1 << i)).otherwise(0) for i, rule in enumerate(RULES)]
     total = bits[0]
     for bit in bits[1:]:
         total = total.bitwiseOR(bit)
-    return measured.withColumn("fail_bits", total)
+    return measured.withColumn("fail_bits", (total + F.monotonically_increasing_id() * 0).cast("int"))
 
 
 def apply_policy(rows: DataFrame, policy: str = "v2", column: str = "kept") -> DataFrame:
@@ -145,3 +154,10 @@ def quality_rules(docs: DataFrame, policy: str = "v2", id_col: str = "doc_id", t
     """Measurements, fail_bits, base_failed and kept of every document."""
     rows = apply_policy(apply_policy(ledger(measure(docs, id_col, text_col)), "base", "_base"), policy)
     return rows.withColumn("base_failed", ~F.col("_base")).withColumn("kept", F.col("_base") & F.col("kept")).drop("_base")
+
+
+def keep_good(docs: DataFrame, policy: str = "v2", text_col: str = "text") -> DataFrame:
+    """The rows of documents that pass the base rules and the policy, with all their columns; no join is needed."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
+    judged = apply_policy(apply_policy(ledger(_measure(rows, "_row")), policy), "base", "_base")
+    return judged.where("_base AND kept").select("_row.*")
