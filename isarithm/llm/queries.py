@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isarithm.llm import bpe, decontam, jaccard, quality_rules, substring
+from isarithm.llm import bpe, decontam, jaccard, quality_model, quality_rules, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by the network learned from the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    net = quality_model.train(docs, _table(spark, sf_dir, "labels").where(~quality_model.held_out()))
+    verdict = (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted")
+    return quality_model.score(docs, net).select("doc_id", quality_model.held_out().alias("held_out"), "score", verdict)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's measures, base verdict and the v2 policy's verdict of every document."""
     rows = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
@@ -86,7 +94,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op8_jaccard_join": op8_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_decontamination": op1_decontamination, "op2_quality_classifier": op2_quality_classifier, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op8_jaccard_join": op8_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
