@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isarithm.llm import bpe, decontam, jaccard, quality_model, quality_rules, substring
+from isarithm.llm import bpe, decontam, jaccard, langid, quality_model, quality_rules, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +83,13 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the field learned from the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()))
+    return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document at five words and 0.8."""
     return jaccard.jaccard_classes(_table(spark, sf_dir, "documents"))
@@ -94,7 +101,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op2_quality_classifier": op2_quality_classifier, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op8_jaccard_join": op8_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_decontamination": op1_decontamination, "op2_quality_classifier": op2_quality_classifier, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
