@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isarithm.llm import bpe, decontam, jaccard, langid, quality_model, quality_rules, substring
+from isarithm.llm import bpe, decontam, jaccard, langid, quality_model, quality_rules, sharding, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,13 +95,19 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
+def op9_consistent_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document among eight, by the law of near equal bytes."""
+    rows = sharding.shard(_table(spark, sf_dir, "documents"), 8)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later occurrences of repeated passages."""
     return substring.drop_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_sentences", "n_removed", "text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op2_quality_classifier": op2_quality_classifier, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_decontamination": op1_decontamination, "op2_quality_classifier": op2_quality_classifier, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op9_consistent_hash": op9_consistent_hash, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
