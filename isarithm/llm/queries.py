@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isarithm.llm import bpe, decontam, jaccard, langid, quality_model, quality_rules, sharding, substring
+from isarithm.llm import bpe, decontam, jaccard, langid, quality_model, quality_rules, sharding, substring, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,23 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(docs, net).select("doc_id", quality_model.held_out().alias("held_out"), "score", verdict)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of all pages say about every page."""
+    manifest = warc.write(_table(spark, sf_dir, "pages"))
+    return warc.read(manifest, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p),
+h AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS head FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND head <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND head <> page_id THEN head END AS refers_to
+FROM h
+"""
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's measures, base verdict and the v2 policy's verdict of every document."""
     rows = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
@@ -107,8 +124,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op2_quality_classifier": op2_quality_classifier, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op9_consistent_hash": op9_consistent_hash, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_decontamination": op1_decontamination, "op2_quality_classifier": op2_quality_classifier, "op3_warc": op3_warc, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op9_consistent_hash": op9_consistent_hash, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": OP4_SQL}
+    return {"op3_warc": OP3_SQL, "op4_quality_rules": OP4_SQL}
