@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isarithm.llm import bpe, decontam, jaccard, langid, quality_model, quality_rules, sharding, substring, warc
+from isarithm.llm import bpe, chat, decontam, jaccard, langid, quality_model, quality_rules, sharding, substring, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,42 @@ FROM b
 """
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, and of one more that holds control strings, read back from their formatted text."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = F.lit("\\### Assistant: </turn> ok")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), hard.alias("text"))
+    done = chat.format_conversations(rows.unionByName(more))
+    told = done.select("conv_id", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"), "state", "valid")
+    flat = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return told.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars", "state", "valid",
+    )
+
+
+OP5_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, 8 + 8 + 8 + length(replace(replace(role, '\', '\\'), '<|', '<\|')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS chars,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before
+  FROM c),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS t,
+         coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS l,
+         CAST(sum(chars) AS BIGINT) AS formatted_chars, arg_max(role, (turn, role, text)) AS last_role,
+         bool_and(CASE WHEN before IS NULL THEN role IN ('system', 'user') ELSE (before || '>' || role) IN ('system>user', 'user>assistant', 'assistant>user') END) AS ok
+  FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(t) AS turns_sha256, length(l) AS loss_chars, sha256(l) AS loss_sha256, formatted_chars,
+       CASE WHEN NOT ok THEN 'error' WHEN last_role = 'system' THEN 'instructed' WHEN last_role = 'user' THEN 'asked' ELSE 'answered' END AS state,
+       ok AND last_role = 'assistant' AS valid
+FROM g
+"""
+
+
 def tokenizer_path() -> str:
     """The tokenizer file that the queries use; the operators take any path."""
     import public_tokenizers
@@ -124,8 +160,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op2_quality_classifier": op2_quality_classifier, "op3_warc": op3_warc, "op4_quality_rules": op4_quality_rules, "op6_bpe": op6_bpe, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op9_consistent_hash": op9_consistent_hash, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_decontamination": op1_decontamination, "op2_quality_classifier": op2_quality_classifier, "op3_warc": op3_warc, "op4_quality_rules": op4_quality_rules, "op5_chat": op5_chat, "op6_bpe": op6_bpe, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op9_consistent_hash": op9_consistent_hash, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op4_quality_rules": OP4_SQL}
+    return {"op3_warc": OP3_SQL, "op4_quality_rules": OP4_SQL, "op5_chat": OP5_SQL}
