@@ -1 +1 @@
-
+"""Column expressions: geometry, map projections, texts of reports."""
