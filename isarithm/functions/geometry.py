@@ -87,13 +87,16 @@ def luminance(r: Column, g: Column, b: Column) -> Column:
     return (r + g + b) / 3.0
 
 
-def project(point: Column, centre: Column, rotation: Column, f_px: Column, width: Column, height: Column) -> Column:
-    """Pixel u, v and depth of a point in a pinhole camera; rotation is an array of three row arrays."""
+def project(point: Column, centre: Column, rotation: Column, f_px: Column) -> Column:
+    """Pixel u, v from the image's middle, and depth, of a point in a pinhole camera.
+
+    `rotation` is an array of three row arrays: right, down, forward.
+    """
     d = minus(point, centre)
     axis = lambda k: rotation[k][0] * d["x"] + rotation[k][1] * d["y"] + rotation[k][2] * d["z"]
     depth = axis(2)
-    by = F.greatest(depth, F.lit(1e-6))
-    return F.struct((f_px * axis(0) / by + width / 2.0).alias("u"), (f_px * axis(1) / by + height / 2.0).alias("v"), depth.alias("depth"))
+    by = F.when(F.abs(depth) < 1e-6, 1e-6).otherwise(depth)
+    return F.struct((f_px * axis(0) / by).alias("u"), (f_px * axis(1) / by).alias("v"), depth.alias("depth"))
 
 
 def planar_uv(x: Column, y: Column, z: Column, nx: Column, ny: Column, scale: float = 4.0) -> Column:

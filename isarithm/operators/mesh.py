@@ -73,20 +73,23 @@ def chunk(x: Column, y: Column, box: tuple[float, float, float, float], rows: in
     return r, c, F.format_string("r%02dc%02d", r, c)
 
 
+def chunk_shape(box: tuple[float, float, float, float], size: float) -> tuple[int, int]:
+    """Rows and columns of chunks of about `size` over a box."""
+    xmin, ymin, xmax, ymax = box
+    return max(1, round((ymax - ymin) / size)), max(1, round((xmax - xmin) / size))
+
+
 def gate_bars(gates: DataFrame) -> DataFrame:
-    """(ord, bar, corner, x, y, z): the eight corners of the four bars of every gate, turned by its yaw.
+    """(ord, bar, corner, x, y, z): the eight corners of the four bars of every gate, turned about its middle.
 
-    A gate has ord, x, y (centre height), z, size, bar and yaw_deg; bars frame the opening.
+    A gate has ord, x, y (the middle's height), z, size, bar and yaw_deg; the bars frame the opening.
     """
-    half, bar = F.col("size") / 2, F.col("bar")
+    off, long = F.col("size") / 2 + F.col("bar") / 2, F.col("size") + 2 * F.col("bar")
     spec = lambda name, cx, cy, sx, sy: F.struct(F.lit(name).alias("bar"), cx.alias("cx"), cy.alias("cy"), sx.alias("sx"), sy.alias("sy"))
-    edge = half + bar / 2
-    zero, long = F.lit(0.0), F.col("size") + 2 * bar
-    four = F.array(spec("top", zero, edge, long, bar), spec("bottom", zero, -edge, long, bar), spec("left", -edge, zero, bar, F.col("size")), spec("right", edge, zero, bar, F.col("size")))
-    rows = gates.select("ord", "x", "y", "z", F.col("bar").alias("deep"), "yaw_deg", F.explode(four).alias("b"), ).select("*", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("corner"))
+    zero, thin = F.lit(0.0), F.col("bar")
+    four = F.array(spec("left", -off, zero, thin, long), spec("right", off, zero, thin, long), spec("top", zero, off, long, thin), spec("bottom", zero, -off, long, thin))
+    rows = gates.select("ord", "x", "y", "z", thin.alias("deep"), "yaw_deg", F.explode(four).alias("b")).select("*", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("corner"))
     sign = lambda bit: F.when(F.col("corner").bitwiseAND(F.lit(bit)) > 0, 0.5).otherwise(-0.5)
-    through, across = G.rotate_yaw(F.col("yaw_deg"))
     side, up, deep = F.col("b.cx") + sign(1) * F.col("b.sx"), F.col("b.cy") + sign(2) * F.col("b.sy"), sign(4) * F.col("deep")
-    return rows.select(
-        "ord", "b.bar", "corner", (F.col("x") + side * across["x"] + deep * through["x"]).alias("x"), (F.col("y") + up).alias("y"), (F.col("z") + side * across["z"] + deep * through["z"]).alias("z")
-    )
+    s, c = F.sin(F.radians("yaw_deg")), F.cos(F.radians("yaw_deg"))
+    return rows.select("ord", "b.bar", "corner", (F.col("x") + side * c + deep * s).alias("x"), (F.col("y") + up).alias("y"), (F.col("z") - side * s + deep * c).alias("z"))

@@ -120,11 +120,12 @@ def nearest_on_line(points: DataFrame, donors: DataFrame, key: list[str], x: str
     return seen.select(*key, best["donor"].alias("donor"), best["distance"].alias("distance"))
 
 
-def box_counts(gates: DataFrame, vertices: DataFrame, key: str, cell: float, opening: tuple[float, float] = (0.6, 1.5), tube: tuple[float, float] = (0.6, 8.0)) -> DataFrame:
-    """(key, in_opening, in_tube, clear): vertices in two upright oriented boxes of each gate; zeros are kept.
+def box_counts(gates: DataFrame, vertices: DataFrame, key: str, cell: float, opening: tuple[float, float] = (0.5, 1.5), tube: tuple[float, float] = (0.3, 8.0)) -> DataFrame:
+    """(key, in_opening, in_approach, clear): vertices in two upright oriented boxes of each gate; zeros are kept.
 
-    A gate has x, y, z, size and yaw_deg, a vertex x, y, z (y up). The opening is +-`size * opening[0]`
-    across and up, and `opening[1]` to either side along the way through; the tube likewise. Gates meet
+    A gate has x, y, z, size and yaw_deg, a vertex x, y, z (y up). The opening reaches, borders
+    excluded, `size * opening[0]` across and up and `opening[1]` along the way through, to either side; the
+    approach likewise. Gates meet
     vertices on the cells of the plane that their longer box can reach.
     """
     from isarithm.functions.geometry import rotate_yaw
@@ -136,7 +137,7 @@ def box_counts(gates: DataFrame, vertices: DataFrame, key: str, cell: float, ope
     dx, dy, dz = F.col("_x") - F.col("x"), F.col("_y") - F.col("y"), F.col("_z") - F.col("z")
     through, across = rotate_yaw(F.col("yaw_deg"))
     along, side = F.abs(dx * through["x"] + dz * through["z"]), F.abs(dx * across["x"] + dz * across["z"])
-    within = lambda half, depth: (along <= depth) & (side <= F.col("size") * half) & (F.abs(dy) <= F.col("size") * half)
+    within = lambda half, depth: (along < depth) & (side < F.col("size") * half) & (F.abs(dy) < F.col("size") * half)
     counted = g.join(v, ["_cx", "_cz"]).groupBy(key).agg(F.count_if(within(*opening)).alias("_o"), F.count_if(within(*tube)).alias("_t"))
-    out = gates.select(key).join(counted, key, "left").select(key, F.coalesce("_o", F.lit(0)).cast("long").alias("in_opening"), F.coalesce("_t", F.lit(0)).cast("long").alias("in_tube"))
-    return out.withColumn("clear", (F.col("in_opening") == 0) & (F.col("in_tube") == 0))
+    out = gates.select(key).join(counted, key, "left").select(key, F.coalesce("_o", F.lit(0)).cast("long").alias("in_opening"), F.coalesce("_t", F.lit(0)).cast("long").alias("in_approach"))
+    return out.withColumn("clear", (F.col("in_opening") == 0) & (F.col("in_approach") == 0))

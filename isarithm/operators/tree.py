@@ -12,7 +12,7 @@ def tree_cut(nodes: DataFrame, max_error: float, most_levels: int = 1000) -> Dat
     """(block, node, level): the first nodes on every way down that are good enough, or leaves, if they have content.
 
     `nodes` has block, node, parent (null at the root), error, uri and n_children. A node is good
-    enough if 0 < error <= max_error; one without content is passed through; a childless one without
+    enough if its error is at most max_error, which must be positive: else only leaves count. One without content is passed through; a childless one without
     content gives nothing. The frontier is joined with its children level by level, so a level is
     one equi-join on (block, parent) and the driver reads one flag.
     """
@@ -20,7 +20,7 @@ def tree_cut(nodes: DataFrame, max_error: float, most_levels: int = 1000) -> Dat
     found = None
     for level in range(most_levels):
         has = F.coalesce(F.col("uri").endswith(".b3dm"), F.lit(False))
-        good = ((F.col("error") <= max_error) & (F.col("error") > 0)) | (F.col("n_children") == 0)
+        good = (F.lit(max_error > 0) & (F.coalesce("error", F.lit(0.0)) <= max_error)) | (F.col("n_children") == 0)
         frontier = settle(frontier.withColumn("_take", has & good))
         part = frontier.where("_take").select("block", "node", "level")
         found = part if found is None else found.unionByName(part)

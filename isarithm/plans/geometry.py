@@ -184,5 +184,5 @@ def matrix_points(t):
 def pinhole_pixels(t):
     turn = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in ((1, 0, 0), (0, 0, -1), (0, 1, 0))])
     point = G.vec(F.col("c_acctbal"), 5000.0 + F.col("c_custkey").cast("double"), F.col("c_nationkey").cast("double"))
-    p = G.project(point, G.vec(0.0, 0.0, 50.0), turn, F.lit(13000.0), F.lit(7952.0), F.lit(5304.0))
+    p = G.project(point, G.vec(0.0, 0.0, 50.0), turn, F.lit(13000.0))
     return t("customer").select("c_custkey", F.round(p["u"], 4).alias("u"), F.round(p["v"], 4).alias("v"), p["depth"].alias("depth"))

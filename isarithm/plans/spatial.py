@@ -62,14 +62,14 @@ v AS (SELECT CAST(l_quantity AS DOUBLE) * 40.0::DOUBLE + 7.0::DOUBLE AS x, CAST(
 n AS (
   SELECT p_partkey, abs((v.x - g.x) * sin(a) - (v.z - g.z) * cos(a)) AS along, abs((v.x - g.x) * cos(a) + (v.z - g.z) * sin(a)) AS side, abs(v.y - g.y) AS up
   FROM g JOIN v ON abs(v.x - g.x) <= 101.0 AND abs(v.z - g.z) <= 101.0 AND abs(v.y - g.y) <= 60.0),
-k AS (SELECT p_partkey, count(*) FILTER (WHERE along <= 15 AND side <= 60.0::DOUBLE AND up <= 60.0::DOUBLE) AS o, count(*) FILTER (WHERE along <= 80 AND side <= 60.0::DOUBLE AND up <= 60.0::DOUBLE) AS u FROM n GROUP BY p_partkey)
-SELECT g.p_partkey, coalesce(o, 0) AS in_opening, coalesce(u, 0) AS in_tube, coalesce(o, 0) = 0 AND coalesce(u, 0) = 0 AS clear FROM g LEFT JOIN k ON k.p_partkey = g.p_partkey""")
+k AS (SELECT p_partkey, count(*) FILTER (WHERE along < 15 AND side < 60.0::DOUBLE AND up < 60.0::DOUBLE) AS o, count(*) FILTER (WHERE along < 80 AND side < 40.0::DOUBLE AND up < 40.0::DOUBLE) AS u FROM n GROUP BY p_partkey)
+SELECT g.p_partkey, coalesce(o, 0) AS in_opening, coalesce(u, 0) AS in_approach, coalesce(o, 0) = 0 AND coalesce(u, 0) = 0 AS clear FROM g LEFT JOIN k ON k.p_partkey = g.p_partkey""")
 def oriented_box_count(t):
     g = t("part").select(
         "p_partkey", (F.col("p_size") * 40.0).alias("x"), F.col("p_retailprice").alias("y"), ((F.col("p_partkey") % 40) * 50.0).alias("z"), F.lit(100.0).alias("size"), (F.col("p_partkey") % 360).cast("double").alias("yaw_deg"),
     )
     v = t("lineitem").select((F.col("l_quantity") * 40.0 + 7.0).alias("x"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("y"), ((F.col("l_suppkey") % 40) * 50.0 + 11.0).alias("z"))
-    return spatial.box_counts(g, v, "p_partkey", 100.0, (0.6, 15.0), (0.6, 80.0))
+    return spatial.box_counts(g, v, "p_partkey", 100.0, (0.6, 15.0), (0.4, 80.0))
 
 
 @query("box_overlap", """
@@ -95,9 +95,9 @@ WITH RECURSIVE nodes AS (
   SELECT p_partkey AS node, CASE WHEN p_partkey > 0 THEN (p_partkey - 1) // 2 END AS parent, 64.0::DOUBLE / pow(2, floor(log2(p_partkey + 1)))::DOUBLE AS error,
          p_partkey % 11 <> 3 AS has, (SELECT count(*) FROM part q WHERE q.p_partkey IN (2 * p.p_partkey + 1, 2 * p.p_partkey + 2)) AS kids FROM part p),
 walk AS (
-  SELECT *, 0 AS level, has AND (error <= 1.0 AND error > 0 OR kids = 0) AS take FROM nodes WHERE parent IS NULL
+  SELECT *, 0 AS level, has AND (error <= 1.0 OR kids = 0) AS take FROM nodes WHERE parent IS NULL
   UNION ALL
-  SELECT n.*, w.level + 1, n.has AND (n.error <= 1.0 AND n.error > 0 OR n.kids = 0) FROM walk w JOIN nodes n ON n.parent = w.node WHERE NOT w.take)
+  SELECT n.*, w.level + 1, n.has AND (n.error <= 1.0 OR n.kids = 0) FROM walk w JOIN nodes n ON n.parent = w.node WHERE NOT w.take)
 SELECT node, level FROM walk WHERE take""")
 def tree_cut(t):
     p = t("part").select(F.col("p_partkey").alias("node"))

@@ -1 +1 @@
-
+"""The one reduction that also runs on streams."""
