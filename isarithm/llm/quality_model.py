@@ -6,9 +6,8 @@ the largest chunk average of each filter is kept, and a logistic layer over thos
 probability. Long documents only have more chunks. Training is Adam on the log loss; the gradient of
 a maximum goes to the chunk that holds it.
 
-Training takes at most SAMPLE_PER_CLASS labelled documents of each class, those with the smallest
-hash of the id, of at most SAMPLE_BYTES bytes each; the class sizes of all labelled rows set the
-prior. Scores read the text only.
+Training draws the SAMPLE_PER_CLASS labelled ids of each class with the smallest hash and takes their
+documents of at most SAMPLE_BYTES bytes; the class sizes of all labelled rows set the prior. Scores read the text only.
 
 Defined cases: a null or empty text is scored as one empty chunk; null and unknown labels are not
 learned from; several labels of one id are all learned from; if only one class has labels, every
@@ -31,6 +30,8 @@ WIDTH = 4
 FILTERS = 12
 HALF = 128
 EPOCHS = 12
+#: Small samples get more epochs, up to this many steps.
+STEPS = 500
 BATCH = 64
 RATE = 0.02
 DECAY = 1e-5
@@ -107,7 +108,8 @@ def fit(texts: list[bytes], labels: np.ndarray, prior: float, seed: int = 7) ->
     shift = np.log(share / (1 - share))
     state = {k: (np.zeros_like(getattr(net, k)), np.zeros_like(getattr(net, k))) for k in "wbvc"}
     step = 0
-    for epoch in range(EPOCHS):
+    epochs = max(EPOCHS, -(-STEPS * BATCH // len(texts)))
+    for epoch in range(epochs):
         order = rng.permutation(len(texts))
         for lo in range(0, len(order), BATCH):
             k = order[lo : lo + BATCH]
@@ -142,7 +144,7 @@ def fit(texts: list[bytes], labels: np.ndarray, prior: float, seed: int = 7) ->
                 m, s = state[key]
                 m += 0.1 * (g - m)
                 s += 0.001 * (g * g - s)
-                rate = RATE * (1 - epoch / EPOCHS)
+                rate = RATE * (1 - epoch / epochs)
                 getattr(net, key)[...] -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
     net.c += np.float32(np.log(prior / (1 - prior)) - shift)
     return net
@@ -160,12 +162,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     if len(sizes) < 2:
         return float(next(iter(sizes), 1))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(f"octet_length(text) <= {SAMPLE_BYTES}")
-    texts, y = [], []
-    for label in (0, 1):
-        part = rows.join(marks.where(F.col("y") == label), "id").select("id", "text").orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_PER_CLASS)
-        for row in part.collect():
-            texts.append(row["text"].encode())
-            y.append(label)
+    # Ids are drawn from the labels alone: at most 2 * SAMPLE_PER_CLASS of them, so their texts take no shuffle.
+    drawn = [marks.where(F.col("y") == label).distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_CLASS) for label in (0, 1)]
+    sample = rows.join(F.broadcast(drawn[0].union(drawn[1])), "id").select("id", "text", "y")
+    found = sorted(sample.collect(), key=lambda r: (r["id"], r["text"], r["y"]))
+    texts, y = [row["text"].encode() for row in found], [row["y"] for row in found]
     if len(set(y)) < 2:
         return sizes[1] / (sizes[0] + sizes[1])
     return fit(texts, np.array(y, np.float32), sizes[1] / (sizes[0] + sizes[1]), seed)
