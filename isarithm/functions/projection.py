@@ -57,7 +57,8 @@ def conic_inverse(east: Column, north: Column) -> tuple[Column, Column]:
     c2 = e2 / 2 + 5 * e2**2 / 24 + e2**3 / 12 + 13 * e2**4 / 360
     c4 = 7 * e2**2 / 48 + 29 * e2**3 / 240 + 811 * e2**4 / 11520
     c6 = 7 * e2**3 / 120 + 81 * e2**4 / 1120
-    phi = chi + F.sin(chi * 2) * c2 + F.sin(chi * 4) * c4 + F.sin(chi * 6) * c6
+    c8 = 4279 * e2**4 / 161280
+    phi = chi + F.sin(chi * 2) * c2 + F.sin(chi * 4) * c4 + F.sin(chi * 6) * c6 + F.sin(chi * 8) * c8
     return F.degrees(phi), F.degrees(F.atan2(x, y) / _N) + LON0
 
 

@@ -152,10 +152,10 @@ def outward(panels: DataFrame, faces: DataFrame, building: str = "building", pro
     """
     flat = lambda s: F.array(F.col(f"{s}.x"), F.col(f"{s}.y"), F.col(f"{s}.z"))
     p = panels.select(building, "first_fid", flat("origin").alias("o"), flat("normal").alias("n"), flat("u_axis").alias("u"), "width", "height")
-    f = faces.select(building, F.concat(flat("pa"), flat("pb"), flat("pc")).alias("t"))
+    f = faces.select(F.col(building).alias("_of"), F.concat(flat("pa"), flat("pb"), flat("pc")).alias("t"))
 
     def turn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = left[["first_fid"]].assign(**{building: left[building]}, flip=False)
+        out = left[[building, "first_fid"]].assign(flip=False)
         tri = np.stack(right["t"].to_list()).reshape(-1, 3, 3) if len(right) else np.zeros((0, 3, 3))
         edges: dict = {}
         for t in np.round(tri, 6).tolist():
@@ -171,7 +171,7 @@ def outward(panels: DataFrame, faces: DataFrame, building: str = "building", pro
         return out[[building, "first_fid", "flip"]]
 
     kind = panels.schema[building].dataType.simpleString()
-    flips = p.groupBy(building).cogroup(f.groupBy(building)).applyInPandas(turn, f"{building} {kind}, first_fid {panels.schema['first_fid'].dataType.simpleString()}, flip boolean")
+    flips = p.groupBy(building).cogroup(f.groupBy("_of")).applyInPandas(turn, f"{building} {kind}, first_fid {panels.schema['first_fid'].dataType.simpleString()}, flip boolean")
     other = lambda c: F.when(F.col("flip"), G.vec(-F.col(f"{c}.x"), -F.col(f"{c}.y"), -F.col(f"{c}.z"))).otherwise(F.col(c))
     moved = G.vec(F.col("origin.x") + F.col("width") * F.col("u_axis.x"), F.col("origin.y") + F.col("width") * F.col("u_axis.y"), F.col("origin.z"))
     joined = panels.join(flips, [building, "first_fid"])
