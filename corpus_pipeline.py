@@ -25,15 +25,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of linked documents the one with the smallest id stays, once; rows without an id stay."""
     classes = jaccard.jaccard_classes(docs.select("doc_id", "text"))
-    stay = classes.where("doc_id = class_id").select(F.col("doc_id").alias("_stay")).distinct()
-    kept = docs.join(stay, docs["doc_id"] == F.col("_stay"), "left_semi").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
+    stay = classes.where("doc_id = class_id").select(F.col("doc_id").alias("k")).distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    kept = docs.select(F.col("doc_id").alias("k"), F.xxhash64("text").alias("h"), row).join(stay, "k", "left_semi").dropDuplicates(["k", "h"]).select("row.*")
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of repeated passages are cut; a document that had nothing else goes."""
-    cleaned = substring.drop_repeats(docs).where("n_removed = 0 OR n_removed < n_sentences")
-    return cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_sentences", "n_removed")])
+    cleaned = substring.drop_repeats(own).where("n_removed = 0 OR n_removed < n_sentences")
+    return cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*own.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and the text decoded from them."""
     coded = bpe.encode(docs, tokenizer_path(), keep_text=False)
-    return bpe.decode(coded, tokenizer_path(), out_col="text").select(*docs.columns, "n_tokens", "ids")
+    back = bpe.decode(coded, tokenizer_path(), out_col="text")
+    return back.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_tokens", "ids")], "n_tokens", "ids")
 
 
 STAGES = [

@@ -14,7 +14,6 @@ through (a column named like an output is replaced). Memory is bounded by the lo
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
 
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isarithm.llm import words as W
+from isarithm.llm.carry import with_kernel
 
 #: Fixed value: the splitting pattern of byte-level tokenizer files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -193,35 +193,23 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", keep_text: b
     """
     with open(tokenizer, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
-    names = [c for c in docs.columns if c not in ("n_tokens", "ids") and (keep_text or c != text_col)]
-    layout = T.StructType([*[docs.schema[c] for c in names], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    given = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"), *[F.col(f"`{c}`") for c in names])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(shared.value)
-        for batch in batches:
-            for piece in W.pieces(batch, "_text", 1 << 20):
-                ids, bounds = bpe.encode(piece.column(0).to_pylist())
-                packed = pa.Array.from_buffers(pa.binary(), piece.num_rows, [None, pa.py_buffer((bounds * 4).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
-                yield pa.RecordBatch.from_arrays([*piece.columns[1:], pa.array(np.diff(bounds)), packed], names=[*names, "n_tokens", "ids"])
+    def kernel(given: list[pa.Array]) -> list[pa.Array]:
+        ids, bounds = _loaded(shared.value).encode(given[0].to_pylist())
+        return [pa.array(np.diff(bounds)), pa.Array.from_buffers(pa.binary(), len(given[0]), [None, pa.py_buffer((bounds * 4).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])]
 
-    return given.mapInArrow(run, layout)
+    keep = [c for c in docs.columns if keep_text or c != text_col]
+    return with_kernel(docs, [F.col(f"`{text_col}`").cast("string")], kernel, [("n_tokens", T.LongType()), ("ids", T.BinaryType())], keep, lambda batch: W.pieces(batch, 0, 1 << 20))
 
 
 def decode(rows: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str = "decoded", keep_ids: bool = True) -> DataFrame:
     """Adds the text that the packed ids stand for; special tokens are spelled out."""
     with open(tokenizer, encoding="utf-8") as file:
         shared = rows.sparkSession.sparkContext.broadcast(file.read())
-    names = [c for c in rows.columns if c != out_col and (keep_ids or c != ids_col)]
-    layout = T.StructType([*[rows.schema[c] for c in names], T.StructField(out_col, T.StringType())])
-    given = rows.select(F.col(f"`{ids_col}`").alias("_ids"), *[F.col(f"`{c}`") for c in names])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(shared.value)
-        for batch in batches:
-            for piece in W.pieces(batch, "_ids", 1 << 20):
-                data, at = W.flat(piece.column(0))
-                texts = bpe.decode(np.frombuffer(data.tobytes(), "<u4").astype(np.int64), at // 4)
-                yield pa.RecordBatch.from_arrays([*piece.columns[1:], pa.array(texts, pa.string())], names=[*names, out_col])
-
-    return given.mapInArrow(run, layout)
+
+    def kernel(given: list[pa.Array]) -> list[pa.Array]:
+        data, at = W.flat(given[0])
+        return [pa.array(_loaded(shared.value).decode(np.frombuffer(data.tobytes(), "<u4").astype(np.int64), at // 4), pa.string())]
+
+    keep = [c for c in rows.columns if keep_ids or c != ids_col]
+    return with_kernel(rows, [F.col(f"`{ids_col}`")], kernel, [(out_col, T.StringType())], keep, lambda batch: W.pieces(batch, 0, 1 << 20))

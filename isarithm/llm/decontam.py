@@ -112,12 +112,12 @@ def _seeds_of(texts: pa.Array, index: Index) -> tuple[np.ndarray, np.ndarray, np
     return h, first, np.concatenate(found), np.concatenate(place)
 
 
-def _count(shared, column: str = "text"):
+def _count(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         total = np.zeros(len(index.keys), np.int64)
         for batch in batches:
-            for piece in W.pieces(batch, column):
+            for piece in W.pieces(batch, 0):
                 _, first, seeds, place = _seeds_of(piece.column(0), index)
                 doc = np.searchsorted(first, place, side="right") - 1
                 pair = np.unique(np.stack([np.searchsorted(index.keys, seeds), doc]), axis=1)
@@ -158,7 +158,7 @@ def _leaks(shared, least: float):
         index = shared.value
         size = np.diff(index.first)
         for batch in batches:
-            for piece in W.pieces(batch, "text"):
+            for piece in W.pieces(batch, 0):
                 h, first, seeds, place = _seeds_of(piece.column(0), index)
                 lo, hi = np.searchsorted(index.seeds, seeds), np.searchsorted(index.seeds, seeds, side="right")
                 per = hi - lo
@@ -230,5 +230,6 @@ def leaks(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """The rows of texts that hold no test item; all columns as they were."""
-    hit = leaks(docs, benchmark, id_col, text_col, **params).select(F.col(id_col).alias("_leak")).distinct()
-    return docs.join(hit, F.col(f"`{id_col}`") == F.col("_leak"), "left_anti")
+    rows = docs.select(F.col(f"`{id_col}`").alias("k"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    hit = leaks(docs, benchmark, id_col, text_col, **params).select(F.col(id_col).alias("k")).distinct()
+    return rows.join(hit, "k", "left_anti").select("row.*")

@@ -95,11 +95,11 @@ def _matrix(column: pa.Array, dtype) -> np.ndarray:
 def _sign(n: int, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in W.pieces(batch, "text"):
-                sig, count = signatures(*W.flat(piece.column(2)), n)
+            for piece in W.pieces(batch, 0):
+                sig, count = signatures(*W.flat(piece.column(0)), n)
                 keys = _prefix_keys(sig, depth)
                 mixed = ((sig.reshape(len(sig), -1) * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
-                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(count > 0), _lists(keys), _fixed(mixed)], names=["id", "h", "some", "keys", "sig"])
+                yield pa.RecordBatch.from_arrays([piece.column(1), piece.column(2), pa.array(count > 0), _lists(keys), _fixed(mixed)], names=["id", "h", "some", "keys", "sig"])
 
     return run
 
@@ -252,7 +252,7 @@ def jaccard_classes(
     """
     depth, least = depth_for(threshold, recall), _least_agreement(threshold)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    keyed = rows.where("id IS NOT NULL AND text IS NOT NULL").select("id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("h"), "text")
+    keyed = rows.where("id IS NOT NULL AND text IS NOT NULL").select("text", "id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("h"))
     signed = cut(keyed.mapInArrow(_sign(n, depth), "id long, h binary, some boolean, keys array<int>, sig binary"))
     reps = cut(signed.groupBy("h").agg(F.min("id").alias("id"), F.first("some").alias("some"), F.first("keys").alias("keys"), F.first("sig").alias("sig")))
     # One row per text and tree, then only prefixes that at least two texts share.

@@ -27,8 +27,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isarithm.llm import words as W
+from isarithm.llm.carry import with_kernel
 
 BITS = 17
 SAMPLE = 400
@@ -273,22 +275,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def predict(docs: DataFrame, model: Crf | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns, lang_pred and score."""
-    given = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"), *[F.col(f"`{c}`") for c in keep])
-    letter = F.coalesce(F.col("_text").rlike(r"\p{L}"), F.lit(False))
+    text = F.col(f"`{text_col}`").cast("string")
     if model is None:
-        return given.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*[F.col(f"`{c}`") for c in keep if c not in ("lang_pred", "score")], F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in W.pieces(batch, "_text", 1 << 21):
-                lang, score = shared.value.predict(piece.column(0))
-                has = np.asarray(piece.column(1))
-                lang = [x if ok else "und" for x, ok in zip(lang, has, strict=True)]
-                yield pa.RecordBatch.from_arrays([*piece.columns[2:], pa.array(lang, pa.string()), pa.array(np.where(has, score, 0.0))], names=[*keep, "lang_pred", "score"])
+    def kernel(given: list[pa.Array]) -> list[pa.Array]:
+        lang, score = shared.value.predict(given[0])
+        has = np.asarray(given[1])
+        return [pa.array([x if ok else "und" for x, ok in zip(lang, has, strict=True)], pa.string()), pa.array(np.where(has, score, 0.0))]
 
-    schema = given.drop("_text").schema.add("lang_pred", "string").add("score", "double")
-    return given.select("_text", letter.alias("_letter"), *[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    return with_kernel(docs, [text, letter], kernel, [("lang_pred", T.StringType()), ("score", T.DoubleType())], list(keep), lambda batch: W.pieces(batch, 0))
 
 
 def segments(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -297,7 +295,7 @@ def segments(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in W.pieces(batch, "_text", 1 << 21):
+            for piece in W.pieces(batch, 0):
                 post, first = shared.value.posteriors(piece.column(0))
                 best = post.argmax(axis=1)
                 out = []

@@ -17,14 +17,14 @@ columns are not read. Memory is bounded by the longest single text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isarithm.llm import words as W
+from isarithm.llm.carry import with_kernel
 
 WIDTH = 4
 FILTERS = 12
@@ -174,15 +174,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
 
 def score(docs: DataFrame, model: Net | float, text_col: str = "text", out_col: str = "score", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns and the model's probability that a text is of class 1."""
-    given = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"), *[F.col(f"`{c}`") for c in keep])
     if isinstance(model, float):
-        return given.select(*keep, F.lit(model).alias(out_col))
+        return docs.select(*[F.col(f"`{c}`") for c in keep if c != out_col], F.lit(model).alias(out_col))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in W.pieces(batch, "_text", 1 << 20):
-                yield pa.RecordBatch.from_arrays([*piece.columns[1:], pa.array(shared.value.score(*W.flat(piece.column(0))))], names=[*keep, out_col])
-
-    schema = given.drop("_text").schema.add(out_col, "double")
-    return given.mapInArrow(run, schema)
+    kernel = lambda given: [pa.array(shared.value.score(*W.flat(given[0])))]
+    return with_kernel(docs, [F.col(f"`{text_col}`").cast("string")], kernel, [(out_col, T.DoubleType())], list(keep), lambda batch: W.pieces(batch, 0, 1 << 20))

@@ -85,13 +85,13 @@ def _once(h: np.ndarray, doc: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in W.pieces(batch, "text"):
-            w = W.split(*W.flat(piece.column(1)))
+        for piece in W.pieces(batch, 0):
+            w = W.split(*W.flat(piece.column(0)))
             first = sentences(w)
             h, a, b = runs(w, first)
             bounds = np.searchsorted(first, w.first)
             doc = np.searchsorted(bounds, a, side="right") - 1
-            ids = piece.column(0).to_numpy(zero_copy_only=False)
+            ids = piece.column(1).to_numpy(zero_copy_only=False)
             one = _once(h, doc, a)
             h, a, b, doc = h[one], a[one], b[one], doc[one]
             at = ((a - bounds[doc]) << 16) | np.minimum(b - a, 65535)
@@ -101,7 +101,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the sentences under their spans, with the counts of sentences and of those removed."""
     for batch in batches:
-        for piece in W.pieces(batch, "text"):
+        for piece in W.pieces(batch, 0):
             spans = piece.column(1)
             w = W.split(*W.flat(piece.column(0)))
             first = sentences(w)
@@ -141,7 +141,7 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans) of the documents that hold a non-first occurrence; a span is first sentence << 16 | length."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{id_col}`").cast("long").alias("id")).where("id IS NOT NULL AND text IS NOT NULL")
     found = rows.mapInArrow(_spans, "h long, id long, at long")
     first = found.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("first")).where("n > 1").select("h", "first")
     later = found.join(first, "h").where((F.col("id") != F.col("first.id")) | (F.col("at") != F.col("first.at")))

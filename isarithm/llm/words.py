@@ -58,11 +58,11 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
-def pieces(batch: pa.RecordBatch, column: str, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """Slices of whole rows with about `size` bytes of text each; one row over that makes a slice of its own."""
+def pieces(batch: pa.RecordBatch, column: int, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows with about `size` bytes in the column each; one row over that makes a slice of its own."""
     if batch.num_rows == 0:
         return
-    _, at = flat(batch.column(batch.schema.get_field_index(column)))
+    _, at = flat(batch.column(column))
     i, n = 0, batch.num_rows
     while i < n:
         j = max(i + 1, int(np.searchsorted(at, at[i] + size, side="right")) - 1)
