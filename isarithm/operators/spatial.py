@@ -126,18 +126,20 @@ def box_counts(gates: DataFrame, vertices: DataFrame, key: str, cell: float, ope
     A gate has x, y, z, size and yaw_deg, a vertex x, y, z (y up). The opening reaches, borders
     excluded, `size * opening[0]` across and up and `opening[1]` along the way through, to either side; the
     approach likewise. Gates meet
-    vertices on the cells of the plane that their longer box can reach.
+    vertices, equal ones counted first, on the cells of space that their longer box can reach.
     """
     from isarithm.functions.geometry import rotate_yaw
 
-    reach = F.hypot(F.lit(max(opening[1], tube[1])), F.col("size") * max(opening[0], tube[0]))
-    cells = lambda c: F.explode(F.sequence(F.floor((F.col(c) - F.col("_r")) / cell), F.floor((F.col(c) + F.col("_r")) / cell)))
-    g = gates.withColumn("_r", reach).select("*", cells("x").alias("_cx")).select("*", cells("z").alias("_cz"))
-    v = vertices.select(F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("z").alias("_z"), F.floor(F.col("x") / cell).alias("_cx"), F.floor(F.col("z") / cell).alias("_cz"))
+    half = max(opening[0], tube[0])
+    reach = F.hypot(F.lit(max(opening[1], tube[1])), F.col("size") * half)
+    span = lambda c, r: F.explode(F.sequence(F.floor((F.col(c) - r) / cell), F.floor((F.col(c) + r) / cell)))
+    g = gates.withColumn("_r", reach).select("*", span("x", F.col("_r")).alias("_cx")).select("*", span("z", F.col("_r")).alias("_cz")).select("*", span("y", F.col("size") * half).alias("_cy"))
+    v = vertices.groupBy(F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("z").alias("_z")).agg(F.count("*").alias("_n"))
+    v = v.select("*", *[F.floor(F.col(f"_{c}") / cell).alias(f"_c{c}") for c in "xyz"])
     dx, dy, dz = F.col("_x") - F.col("x"), F.col("_y") - F.col("y"), F.col("_z") - F.col("z")
     through, across = rotate_yaw(F.col("yaw_deg"))
     along, side = F.abs(dx * through["x"] + dz * through["z"]), F.abs(dx * across["x"] + dz * across["z"])
     within = lambda half, depth: (along < depth) & (side < F.col("size") * half) & (F.abs(dy) < F.col("size") * half)
-    counted = g.join(v, ["_cx", "_cz"]).groupBy(key).agg(F.count_if(within(*opening)).alias("_o"), F.count_if(within(*tube)).alias("_t"))
+    counted = g.join(v, ["_cx", "_cy", "_cz"]).groupBy(key).agg(*[F.sum(F.when(within(*box), F.col("_n")).otherwise(0)).alias(n) for n, box in (("_o", opening), ("_t", tube))])
     out = gates.select(key).join(counted, key, "left").select(key, F.coalesce("_o", F.lit(0)).cast("long").alias("in_opening"), F.coalesce("_t", F.lit(0)).cast("long").alias("in_approach"))
     return out.withColumn("clear", (F.col("in_opening") == 0) & (F.col("in_approach") == 0))

@@ -57,8 +57,8 @@ def nearest_donor(t):
 
 
 @query("oriented_box_count", """
-WITH g AS (SELECT p_partkey, CAST(p_size AS DOUBLE) * 40.0::DOUBLE AS x, CAST(p_partkey % 40 AS DOUBLE) * 50.0::DOUBLE AS z, p_retailprice AS y, 100.0::DOUBLE AS size, radians(CAST(p_partkey % 360 AS DOUBLE)) AS a FROM part),
-v AS (SELECT CAST(l_quantity AS DOUBLE) * 40.0::DOUBLE + 7.0::DOUBLE AS x, CAST(l_suppkey % 40 AS DOUBLE) * 50.0::DOUBLE + 11.0::DOUBLE AS z, l_extendedprice / l_quantity AS y FROM lineitem),
+WITH g AS (SELECT p_partkey, CAST(p_size AS DOUBLE) * 40.0::DOUBLE AS x, CAST(p_partkey % 4000 AS DOUBLE) * 50.0::DOUBLE AS z, p_retailprice AS y, 100.0::DOUBLE AS size, radians(CAST(p_partkey % 360 AS DOUBLE)) AS a FROM part),
+v AS (SELECT CAST(l_quantity AS DOUBLE) * 40.0::DOUBLE + 7.0::DOUBLE AS x, CAST(l_partkey % 4000 AS DOUBLE) * 50.0::DOUBLE + 11.0::DOUBLE AS z, l_extendedprice / l_quantity AS y FROM lineitem),
 n AS (
   SELECT p_partkey, abs((v.x - g.x) * sin(a) - (v.z - g.z) * cos(a)) AS along, abs((v.x - g.x) * cos(a) + (v.z - g.z) * sin(a)) AS side, abs(v.y - g.y) AS up
   FROM g JOIN v ON abs(v.x - g.x) <= 101.0 AND abs(v.z - g.z) <= 101.0 AND abs(v.y - g.y) <= 60.0),
@@ -66,9 +66,9 @@ k AS (SELECT p_partkey, count(*) FILTER (WHERE along < 15 AND side < 60.0::DOUBL
 SELECT g.p_partkey, coalesce(o, 0) AS in_opening, coalesce(u, 0) AS in_approach, coalesce(o, 0) = 0 AND coalesce(u, 0) = 0 AS clear FROM g LEFT JOIN k ON k.p_partkey = g.p_partkey""")
 def oriented_box_count(t):
     g = t("part").select(
-        "p_partkey", (F.col("p_size") * 40.0).alias("x"), F.col("p_retailprice").alias("y"), ((F.col("p_partkey") % 40) * 50.0).alias("z"), F.lit(100.0).alias("size"), (F.col("p_partkey") % 360).cast("double").alias("yaw_deg"),
+        "p_partkey", (F.col("p_size") * 40.0).alias("x"), F.col("p_retailprice").alias("y"), ((F.col("p_partkey") % 4000) * 50.0).alias("z"), F.lit(100.0).alias("size"), (F.col("p_partkey") % 360).cast("double").alias("yaw_deg"),
     )
-    v = t("lineitem").select((F.col("l_quantity") * 40.0 + 7.0).alias("x"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("y"), ((F.col("l_suppkey") % 40) * 50.0 + 11.0).alias("z"))
+    v = t("lineitem").select((F.col("l_quantity") * 40.0 + 7.0).alias("x"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("y"), ((F.col("l_partkey") % 4000) * 50.0 + 11.0).alias("z"))
     return spatial.box_counts(g, v, "p_partkey", 100.0, (0.6, 15.0), (0.4, 80.0))
 
 
