@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isarithm.plans import geometry, rasters, reports, selection, spatial  # noqa: F401
+from isarithm.plans import geometry, rasters, reports, selection, spatial, stages  # noqa: F401
 from isarithm.plans.registry import QUERIES, SQL
 
 
