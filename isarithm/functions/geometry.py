@@ -116,3 +116,21 @@ def apply_matrix(m: Column, x: Column, y: Column, z: Column) -> Column:
     """A 4 x 4 matrix, 16 values column first, times a point."""
     row = lambda k: m[k] * x + m[k + 4] * y + m[k + 8] * z + m[k + 12]
     return vec(row(0), row(1), row(2))
+
+
+def look_at(eye: Column, target: Column) -> Column:
+    """Rows right, up, back (structs) of a view from eye to target, y up; a view along the axis uses north as up."""
+    away = minus(target, eye)
+    size = norm(away)
+    forward = F.when(size < 1e-9, vec(0.0, 0.0, -1.0)).otherwise(vec(away["x"] / size, away["y"] / size, away["z"] / size))
+    up = F.when(F.abs(forward["y"]) > 0.999, vec(0.0, 0.0, -1.0)).otherwise(vec(0.0, 1.0, 0.0))
+    side = cross(forward, up)
+    by = F.greatest(norm(side), F.lit(1e-9))
+    right = vec(side["x"] / by, side["y"] / by, side["z"] / by)
+    return F.struct(right.alias("right"), cross(right, forward).alias("up"), vec(-forward["x"], -forward["y"], -forward["z"]).alias("back"))
+
+
+def perspective(fov_deg: Column, aspect: float, near: float, far: float) -> Column:
+    """The five numbers of a projection matrix that are not 0, 1 or -1: x and y scale, depth scale and offset."""
+    f = 1.0 / F.tan(F.radians(fov_deg) / 2.0)
+    return F.struct((f / aspect).alias("sx"), f.alias("sy"), F.lit((far + near) / (near - far)).alias("sz"), F.lit(2.0 * far * near / (near - far)).alias("tz"))

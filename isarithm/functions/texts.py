@@ -79,3 +79,11 @@ def dash(value: Column, shown: Column) -> Column:
 
 def valid_name(name: Column) -> Column:
     return F.coalesce(name.rlike(r"^[\p{L}\p{N}_-]+$"), F.lit(False))
+
+
+def first_keyword(name: Column, values: dict[str, str], default: str) -> Column:
+    """The value of the first keyword, in order, that a name contains."""
+    out = F.lit(default)
+    for word, value in reversed(values.items()):
+        out = F.when(F.contains(name, F.lit(word)), value).otherwise(out)
+    return out

@@ -269,3 +269,53 @@ def usable_photos(photos: DataFrame) -> DataFrame:
 def plausible(height: Column, above: Column, tilt: Column, rms: Column, width: Column) -> Column:
     """Whether a fitted camera can be true."""
     return (height > 0.4 * above) & (height < 1.05 * above) & (tilt > 5) & (tilt < 75) & (rms <= 0.01 * width)
+
+
+def sample_image(points: DataFrame, cells: DataFrame, key: list[str], x: Column, y: Column, width: int, height: int, values: list[str]) -> DataFrame:
+    """(key, values...): bilinear samples at fractional pixels; points that are not well inside give no row.
+
+    `cells` has row, col and one column per band; a point becomes four weighted cells, one join for all bands.
+    """
+    inside = (x >= 0) & (x < width - 1) & (y >= 0) & (y < height - 1)
+    rows = points.where(inside).select(*key, F.floor(x).cast("int").alias("_x"), F.floor(y).cast("int").alias("_y"), (x - F.floor(x)).alias("_fx"), (y - F.floor(y)).alias("_fy"))
+    share = lambda c, d: F.col(c) if d else 1.0 - F.col(c)
+    four = F.array(*[F.struct((F.col("_y") + dy).alias("row"), (F.col("_x") + dx).alias("col"), (share("_fx", dx) * share("_fy", dy)).alias("w")) for dx in (0, 1) for dy in (0, 1)])
+    spread = rows.select(*key, F.explode(four).alias("k")).select(*key, "k.*")
+    return spread.join(cells, ["row", "col"]).groupBy(*key).agg(*[F.sum(F.col("w") * F.col(v)).alias(v) for v in values])
+
+
+def readings(photos: DataFrame, key: str = "id") -> DataFrame:
+    """(key, rot, rev, m): the eight ways to read a photo's ring of ground corners, each with its plane map to the frame.
+
+    A photo has width, height and corners, an array of four structs e, n. Frame places count from the middle.
+    """
+
+    def run(batches):
+        for part in batches:
+            rows = []
+            for p in part.itertuples():
+                w, h = p.width / 2, p.height / 2
+                frame = np.array([(-w, -h), (-w, h), (w, h), (w, -h)])
+                ring = np.array([[c["e"], c["n"]] for c in p.corners], float)
+                for rot in range(4):
+                    for rev in (False, True):
+                        turned = np.roll(ring, -rot, axis=0)
+                        rows.append((getattr(p, key), rot, rev, homography(turned[::-1] if rev else turned, frame).ravel().tolist()))
+            yield pd.DataFrame(rows, columns=[key, "rot", "rev", "m"])
+
+    return photos.select(key, "width", "height", "corners").mapInPandas(run, f"{key} {photos.schema[key].dataType.simpleString()}, rot int, rev boolean, m array<double>")
+
+
+def ordering_scores(maps: DataFrame, control: DataFrame, cells: DataFrame, key: str, size: tuple[int, int], scale: float = 1.0, offset: tuple[float, float] = (0.0, 0.0), least: int = 400) -> DataFrame:
+    """(key, rot, rev, n, corr): how well each reading's picture agrees with the ground's luminance.
+
+    `control` has key, x, y, lum: the open ground points that a photo may see; `cells` has key, row, col
+    and gray, the photo's own raster of `size` (width, height) at `scale` of the frame's pixels.
+    """
+    m = F.col("m")
+    q = lambda r: m[3 * r] * F.col("x") + m[3 * r + 1] * F.col("y") + m[3 * r + 2]
+    width, height = size
+    met = maps.join(control, key).withColumns({"px": (F.try_divide(q(0), q(2)) + width / scale / 2) * scale - offset[0], "py": (F.try_divide(q(1), q(2)) + height / scale / 2) * scale - offset[1]})
+    inside = met.where((F.col("px") >= 0) & (F.col("px") < width - 1) & (F.col("py") >= 0) & (F.col("py") < height - 1))
+    seen = inside.withColumns({"col": F.floor("px").cast("int"), "row": F.floor("py").cast("int")}).join(cells, [key, "row", "col"])
+    return gated_correlation(seen, [key, "rot", "rev"], "gray", "lum", least)

@@ -61,6 +61,34 @@ def markdown(table: DataFrame, columns: list[str], order: list[Column]) -> DataF
     return rows.select(F.concat(F.lit(head + "\n"), F.array_join(F.transform("rows", lambda r: r["line"]), "\n")).alias("page"))
 
 
+def redacted(reports: DataFrame, private: str, secret: list[str], sources: str | None = None) -> DataFrame:
+    """Reports with the secret columns, and the files of their sources, null where a report is private."""
+    hide = F.coalesce(F.col(private), F.lit(False))
+    out = reports.withColumns({c: F.when(~hide, F.col(c)) for c in secret})
+    if sources:
+        out = out.withColumn(sources, F.when(hide, F.transform(sources, lambda s: s.withField("files", F.lit(None).cast("array<string>")))).otherwise(F.col(sources)))
+    return out
+
+
+def to_lines(reports: DataFrame, name: str) -> DataFrame:
+    """(name, json): every report as one line of JSON; missing values are left out."""
+    return reports.select(name, F.to_json(F.struct(*[F.col(f"`{c}`") for c in reports.columns])).alias("json"))
+
+
+def texture_pixels(side: Column, tiles: Column, cap: Column) -> Column:
+    """Upper bound of a map's texture pixels: the ground's square and each survey tile at its cap."""
+    return side * side + F.coalesce(tiles * cap * cap, F.lit(0))
+
+
+def cached(spark, path: str, build, fresh: bool = False) -> DataFrame:
+    """The table at a path, built and written first if it is not there. Put what it depends on into the path."""
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if fresh or not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def thousands(value: Column) -> Column:
     return texts.dash(value, F.format_number(value, 0))
 

@@ -54,6 +54,13 @@ def poses(frames_: DataFrame) -> DataFrame:
     return frames_.withColumns({"x": x, "z": z, "above": height})
 
 
+def look_ahead(t: Column, metres: Column, start: Column, end: Column) -> Column:
+    """Ground place (x, z) that a flight looks at: that far before it on its own way, at most its end."""
+    length = F.hypot(end["x"] - start["x"], end["z"] - start["z"])
+    at = F.least(F.lit(1.0), t + metres / F.greatest(length, F.lit(1.0)))
+    return F.struct((start["x"] + (end["x"] - start["x"]) * at).alias("x"), (start["z"] + (end["z"] - start["z"]) * at).alias("z"))
+
+
 def even_runs(cells: int, parts: int) -> list[tuple[int, int]]:
     """First and last point of at most `parts` runs over the cells; neighbours share a point."""
     parts = max(1, min(parts, cells))

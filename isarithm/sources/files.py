@@ -180,6 +180,43 @@ def gates(spark: SparkSession, config: dict) -> DataFrame:
     return spark.createDataFrame(rows, "ord int, east double, north double, height_m double, size_m double, yaw_deg double, bar_m double")
 
 
+SHOT = {"height_m": 90.0, "radius_m": 200.0, "turns": 0.35, "start_deg": 40.0, "look_height_m": 12.0, "look_ahead_m": 0.0, "fov_deg": 45.0, "still_at": 0.5}
+
+
+def load_tour(spark: SparkSession, text: str, origin: tuple[float, float]) -> tuple[dict, DataFrame] | None:
+    """A settings file's tour as its format and its shots in order, places in y-up axes around the origin; None without shots."""
+    section = tomllib.loads(text).get("tour", {})
+    if not section.get("shot"):
+        return None
+
+    def place(raw: dict, key: str):
+        if f"{key}_wgs84" in raw:
+            lat, lon = raw[f"{key}_wgs84"]
+            e, n = spark.range(1).select(*conic_forward(F.lit(float(lat)), F.lit(float(lon)))).first()
+        elif key in raw:
+            e, n = raw[key]
+        else:
+            return None
+        return (float(e) - origin[0], -(float(n) - origin[1]))
+
+    rows = []
+    for i, raw in enumerate(section["shot"], 1):
+        kind, seconds, start, end = str(raw.get("kind", "orbit")), float(raw.get("seconds", 10.0)), place(raw, "start"), place(raw, "end")
+        name = str(raw.get("name", f"shot-{i}"))
+        if kind not in ("orbit", "reveal", "fly"):
+            raise ValueError(f"shot kind must be orbit, reveal or fly: {kind!r}")
+        if seconds <= 0 or kind == "fly" and (start is None or end is None):
+            raise ValueError(f"shot {name!r} needs seconds above 0, and a flight a start and an end")
+        target = place(raw, "target") or end or (0.0, 0.0)
+        rows.append((i, name, kind, seconds, target, start, end, *[float(raw.get(k, v)) for k, v in SHOT.items()]))
+    size = section.get("size", [1920, 1080])
+    if size[0] % 2 or size[1] % 2:
+        raise ValueError("the frame size must be even")
+    form = {"fps": int(section.get("fps", 60)), "width": int(size[0]), "height": int(size[1]), "still_px": int(section.get("still_px", 1600)), "jpeg_quality": int(section.get("jpeg_quality", 82)), "fog_start_m": float(section.get("fog_start_m", 0.0)), "fog_end_m": float(section.get("fog_end_m", 0.0))}
+    spot = "struct<x: double, z: double>"
+    return form, spark.createDataFrame(rows, f"ord int, name string, kind string, seconds double, target {spot}, start {spot}, end {spot}, " + ", ".join(f"{k} double" for k in SHOT))
+
+
 def reports(spark: SparkSession, path: str) -> DataFrame:
     """Build reports as one row a file; broken files give nulls."""
     schema = "map string, glb struct<triangles: bigint, meshes: bigint, size_bytes: bigint>, buildings_in_bbox bigint, clearance array<struct<gate: int, clear: boolean>>, texture_px bigint"

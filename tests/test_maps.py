@@ -110,3 +110,68 @@ def test_control_points_avoid_buildings(spark):
     gap = np.hypot(np.maximum(0, np.abs(xy[:, 0] - 50) - 10), np.maximum(0, np.abs(xy[:, 1] - 50) - 10))
     assert gap.min() > 12 and 60 < len(points) < 100
     assert sequence.even_runs(5, 2) == [(0, 2), (2, 5)]
+
+
+def test_the_right_reading_of_the_corners_wins(spark):
+    rng = np.random.default_rng(7)
+    from isarithm.operators import facade
+
+    gray = rng.uniform(0, 255, (40, 60))
+    ring = [(0.0, 40.0), (0.0, 0.0), (60.0, 0.0), (60.0, 40.0)]  # north-west, south-west, south-east, north-east
+    photos = spark.createDataFrame([(1, 60, 40, ring[1:] + ring[:1])], "id int, width int, height int, corners array<struct<e: double, n: double>>")
+    cells = spark.createDataFrame([(1, r, c, float(gray[r, c])) for r in range(40) for c in range(60)], "id int, row int, col int, gray double")
+    control = spark.createDataFrame([(1, c + 0.5, 39.5 - r, float(gray[r, c])) for r in range(39) for c in range(59)], "id int, x double, y double, lum double")
+    scores = facade.ordering_scores(facade.readings(photos), control, cells, "id", (60, 40)).collect()
+    best = max(scores, key=lambda r: r["corr"])
+    assert len(scores) == 8 and (best["rot"], best["rev"]) == (3, False) and best["corr"] > 0.99
+    assert sorted(r["corr"] for r in scores)[-2] < 0.3
+
+
+def test_image_samples(spark):
+    from isarithm.operators import facade
+
+    cells = spark.createDataFrame([(0, 0, 0.0), (0, 1, 10.0), (1, 0, 20.0), (1, 1, 30.0)], "row int, col int, v double")
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 0.0, 0.0), (3, 1.0, 0.5), (4, -0.1, 0.0)], "id int, x double, y double")
+    out = {r["id"]: r["v"] for r in facade.sample_image(points, cells, ["id"], F.col("x"), F.col("y"), 2, 2, ["v"]).collect()}
+    assert out == {1: 15.0, 2: 0.0}
+
+
+def test_tours_views_and_reports(spark, tmp_path):
+    from isarithm.functions import geometry as G
+    from isarithm.functions import texts
+    from isarithm.operators import report
+    from isarithm.sources import files
+
+    text = """[tour]
+fps = 30
+[[tour.shot]]
+seconds = 8.0
+target = [100.0, 200.0]
+[[tour.shot]]
+kind = "fly"
+name = "over"
+seconds = 6.0
+start = [0.0, 0.0]
+end = [100.0, 0.0]
+"""
+    form, shots = files.load_tour(spark, text, (100.0, 100.0))
+    assert form["fps"] == 30 and [r["name"] for r in shots.orderBy("ord").collect()] == ["shot-1", "over"]
+    assert tuple(shots.where("ord = 1").first()["target"]) == (0.0, -100.0) and files.load_tour(spark, "[map]", (0, 0)) is None
+    frames = sequence.frames(shots, shots.columns, "seconds", 30)
+    assert frames.count() == 420
+    ahead = shots.where("kind = 'fly'").select(sequence.look_ahead(F.lit(0.5), F.lit(30.0), F.col("start"), F.col("end")).alias("p")).first()["p"]
+    assert abs(ahead["x"] + 20.0) < 1e-9
+    view = one(spark, G.look_at(G.vec(0.0, 0.0, 5.0), G.vec(0.0, 0.0, 0.0)))[0]
+    assert tuple(view["right"]) == (1, 0, 0) and tuple(view["up"]) == (0, 1, 0) and tuple(view["back"]) == (0, 0, 1)
+    assert abs(one(spark, G.perspective(F.lit(90.0), 2.0, 1.0, 100.0))[0]["sy"] - 1) < 1e-12
+    df = spark.createDataFrame([("a", True, [1.0], [("d", ["f"])]), ("b", False, [2.0], [("d", ["f"])])], "map string, private boolean, box array<double>, sources array<struct<dataset: string, files: array<string>>>")
+    lines = {r["map"]: r["json"] for r in report.to_lines(report.redacted(df, "private", ["box"], "sources"), "map").collect()}
+    assert "box" not in lines["a"] and "files" not in lines["a"] and '"files":["f"]' in lines["b"]
+    assert one(spark, texts.first_keyword(F.lit("z_concrete2"), {"asphalt": "a", "concrete": "c"}, "-"))[0] == "c"
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(3)
+
+    assert report.cached(spark, str(tmp_path / "t"), build).count() == report.cached(spark, str(tmp_path / "t"), build).count() == 3 and len(built) == 1
