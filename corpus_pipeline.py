@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from isarithm.llm import bpe, decontam, jaccard, quality_rules, substring
 from isarithm.llm.queries import tokenizer_path
-from isarithm.llm.storage import fresh_dir
+from isarithm.llm.storage import drop, fresh_dir
 
 #: BPE ids have no SQL; tests hold the stages against plain Python versions.
 ORACLE_SQL = None
@@ -60,10 +60,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what a stage keeps is written as Parquet in the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents; what a stage keeps is written as Parquet in the shared folder and read again.
+
+    A stage's table is deleted when its successor's is written; the last one stays for the caller.
+    """
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = fresh_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if last:
+            drop(spark, last)
+        docs, last = spark.read.parquet(path), path
     return docs

@@ -9,7 +9,7 @@ diagonal; the item is aligned with the words around it by local alignment (match
 
 The corpus is never collected: the driver reads one count per seed of a block of test items. The
 test set is dealt in blocks of at most ITEMS_PER_BLOCK items, each against all texts, so what is
-broadcast is bounded by that parameter and not by any input.
+broadcast is bounded by that parameter and an item's length, and does not grow with either table.
 
 Defined cases: a null or empty text, and an item without words, match nothing; an item shorter than
 n words is one seed and must occur whole; repeated rows are reported as one id and item pair with
@@ -35,8 +35,10 @@ RARE = 1e-4
 RARE_TEXTS = 32
 KEEP = 8
 LEAST = 0.5
-#: Test items that are broadcast at a time, and the most words that one may have.
-ITEMS_PER_BLOCK = 20_000
+#: Test items that are broadcast at a time.
+ITEMS_PER_BLOCK = 5_000
+#: Cells of an alignment row that are held at a time.
+ROW_CELLS = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 U = np.uint64
 _OTHER = np.ones(256, dtype=bool)
@@ -173,9 +175,11 @@ def _leaks(shared, least: float):
                 begin = (band[one] * slack[one]) - (1 << 40) + first[doc] - slack[one]
                 length = size[item] + 3 * slack[one]
                 order = np.argsort(length, kind="stable")
-                results = []
-                for at in range(0, len(order), 256):
-                    k = order[at : at + 256]
+                results, at = [], 0
+                while at < len(order):
+                    ahead = order[at : at + 256]
+                    k = ahead[: max(1, int(np.searchsorted(np.cumsum(length[ahead]), ROW_CELLS)))]
+                    at += len(k)
                     m, width = int(size[item[k]].max()), int(length[k].max())
                     cols = begin[k][:, None] + np.arange(width)
                     inside = (cols >= first[doc[k]][:, None]) & (cols < first[doc[k] + 1][:, None])
@@ -220,7 +224,8 @@ def leaks(
         if n_texts is None:
             n_texts = rows.count()
         counted = rows.select("text").mapInArrow(_count(spark.sparkContext.broadcast(index)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-        index.keep_rare({row[0]: row[1] for row in counted.collect()}, n_texts, rare, keep)
+        held = counted.toPandas()
+        index.keep_rare(dict(zip(held["h"].tolist(), held["n"].tolist(), strict=True)), n_texts, rare, keep)
         found.append(rows.mapInArrow(_leaks(spark.sparkContext.broadcast(index), least), "id long, item long, score double, end long"))
     if not found:
         return spark.createDataFrame([], f"{id_col} long, {item_col} long, score double, end long")

@@ -29,3 +29,10 @@ def cut(df: DataFrame) -> DataFrame:
     """The rows of df, computed now and kept in the shared folder, so that a lost executor costs no recomputing."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by fresh_dir, through the file system that it is on."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
