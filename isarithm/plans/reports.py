@@ -122,3 +122,21 @@ def valid_names(t):
 @query("area_sheets")
 def area_sheets(t):
     return report.area_report(t("region").sparkSession, "base", (656000.0, 6468500.0, 665000.0, 6477500.0)).select("map", "chunks", "sheets_1km", "sheets_5km")
+
+
+@query("keyword_values", """
+SELECT p_partkey, CASE WHEN contains(p_type, 'STEEL') THEN 'grey' WHEN contains(p_type, 'BRASS') THEN 'yellow' WHEN contains(p_type, 'PROMO') THEN 'red' ELSE '-' END AS colour FROM part""")
+def keyword_values(t):
+    return t("part").select("p_partkey", texts.first_keyword(F.col("p_type"), {"STEEL": "grey", "BRASS": "yellow", "PROMO": "red"}, "-").alias("colour"))
+
+
+@query("redacted_rows", "SELECT c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN NULL ELSE c_name END AS c_name, CASE WHEN c_nationkey % 2 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer")
+def redacted_rows(t):
+    rows = t("customer").withColumn("private", F.col("c_nationkey") % 2 == 0)
+    return report.redacted(rows, "private", ["c_name", "c_acctbal"]).select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("vram_totals", "SELECT p_brand, sum(CAST(p_size AS BIGINT) * p_size + CASE WHEN p_size > 10 THEN p_size * 64 * 64 ELSE 0 END)::BIGINT AS pixels FROM part GROUP BY 1")
+def vram_totals(t):
+    side, tiles = F.col("p_size").cast("long"), F.when(F.col("p_size") > 10, F.col("p_size").cast("long"))
+    return t("part").groupBy("p_brand").agg(F.sum(report.texture_pixels(side, tiles, F.lit(64))).alias("pixels"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 MAGIC, JSON_CHUNK, BIN_CHUNK = 0x46546C67, 0x4E4F534A, 0x004E4942
 COMPONENT = {5121: "u1", 5123: "<u2", 5125: "<u4", 5126: "<f4"}
 WIDTH = {"SCALAR": 1, "VEC2": 2, "VEC3": 3, "VEC4": 4}
-SUFFIXES = ("-col", "-convcol", "-colonly", "-convcolonly", "-noimp")
+SUFFIXES = ("-col", "-colonly", "-convcol", "-navmesh", "-rigid", "-noimp", "-occ")
 
 _ACCESSOR = "struct<count: bigint, min: array<double>, max: array<double>>"
 _PRIMITIVE = "struct<attributes: struct<POSITION: int>, indices: int>"
