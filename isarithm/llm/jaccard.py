@@ -35,8 +35,9 @@ MAX_DEPTH = 5
 THRESHOLD = 0.8
 TARGET_RECALL = 0.9999999
 SHINGLE = 5
-#: Texts of one prefix that a cell holds of either side.
+#: Texts of one prefix that a cell holds of either side, and bytes of texts that are verified at a time.
 BLOCK = 512
+BLOCK_BYTES = 8 << 20
 #: A pair whose signatures agree in a smaller part than this, 8 standard errors under the threshold, is not verified.
 SLACK = 8.0
 U = np.uint64
@@ -199,6 +200,27 @@ def _overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarra
     return np.rint(total[a, b]).astype(np.int64)
 
 
+def _sizes_and_overlaps(text: pa.Array, x: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs of texts the sum of their numbers of shingles, and how many they share.
+
+    Texts are taken in blocks of at most BLOCK_BYTES, and pairs by their two blocks, so long texts bound the work's memory too.
+    """
+    length = np.diff(W.flat(text)[1])
+    block = (np.cumsum(length) - length) // BLOCK_BYTES
+    total, both = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+    pair = block[x] * (block[-1] + 1) + block[y]
+    for p in np.unique(pair):
+        k = np.flatnonzero(pair == p)
+        used = np.unique(np.concatenate([x[k], y[k]]))
+        w = W.split(*W.flat(text.take(pa.array(used))))
+        s, bounds = W.shingles(W.word_hashes(w), w.first, n)
+        sets = [np.unique(s[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+        size = np.array([len(v) for v in sets])
+        i, j = np.searchsorted(used, x[k]), np.searchsorted(used, y[k])
+        total[k], both[k] = size[i] + size[j], _overlaps(sets, i, j)
+    return total, both
+
+
 def _verify(n: int, least: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
@@ -212,19 +234,14 @@ def _verify(n: int, least: int, threshold: float):
             i, j = i[order], j[order]
             links, least_id = np.zeros(len(ids), np.int64), ids.copy()
             text = table.column("text").chunk(0)
-            sets: dict[int, np.ndarray] = {}
             edges = np.flatnonzero(np.concatenate([[True], cell[i][1:] != cell[i][:-1]]))
             for lo, hi in zip(edges, [*edges[1:], len(i)], strict=True):
                 a, b = i[lo:hi], j[lo:hi]
                 mine = np.unique(np.concatenate([a, b]))
-                w = W.split(*W.flat(text.take(pa.array(mine))))
-                s, bounds = W.shingles(W.word_hashes(w), w.first, n)
-                sets = [np.unique(s[x:y]) for x, y in zip(bounds, bounds[1:], strict=False)]
-                size = np.array([len(x) for x in sets])
                 x, y = np.searchsorted(mine, a), np.searchsorted(mine, b)
-                both = _overlaps(sets, x, y)
+                total, both = _sizes_and_overlaps(text.take(pa.array(mine)), x, y, n)
                 # Jaccard >= threshold without division: both >= t * (|A| + |B| - both)
-                good = both * (1 + threshold) + 1e-9 >= threshold * (size[x] + size[y])
+                good = both * (1 + threshold) + 1e-9 >= threshold * total
                 a, b = a[good], b[good]
                 np.add.at(links, a, 1)
                 np.add.at(links, b, 1)

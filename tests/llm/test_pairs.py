@@ -74,6 +74,19 @@ def test_jaccard_counts_links_of_a_split_group(spark):
     assert key(map(tuple, got)) == key(plain_classes(rows))
 
 
+def test_overlaps_by_blocks(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    base = text(rng, 12).split()
+    texts = pa.array([" ".join(base[:i] + ["x"] + base[i + 1 :]) for i in range(0, 60, 3)])
+    x, y = (np.array(v) for v in zip(*[(a, b) for a in range(20) for b in range(a + 1, 20)], strict=True))
+    whole = jaccard._sizes_and_overlaps(texts, x, y, 5)
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 1500)
+    parts = jaccard._sizes_and_overlaps(texts, x, y, 5)
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+
+
 def test_jaccard_empty(edges):
     assert jaccard.jaccard_classes(edges.limit(0)).count() == 0
 
