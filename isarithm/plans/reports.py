@@ -10,9 +10,9 @@ from isarithm.plans.registry import query
 
 
 @query("href_list", r"""
-SELECT page_id, list_sort(list_distinct(regexp_extract_all(replace(html, '&amp;', '&'), 'href="([^"]+)"', 1))) AS names FROM pages""")
+SELECT page_id, array_to_string(list_sort(list_distinct(regexp_extract_all(replace(html, '&amp;', '&'), 'href="([^"]+)"', 1))), ' ') AS names FROM pages""")
 def href_list(t):
-    return t("pages").select("page_id", texts.listed(F.col("html"), r'href="([^"]+)"').alias("names"))
+    return t("pages").select("page_id", F.array_join(texts.listed(F.col("html"), r'href="([^"]+)"'), " ").alias("names"))
 
 
 @query("url_build", "SELECT page_id, 'https://example.org/get?lang=1&u=' || url_encode(url) || '&id=' || page_id AS address FROM pages")
@@ -62,9 +62,9 @@ def suffix_counter(t):
     return report.counter(t("documents"), F.right("text", F.lit(1)))
 
 
-@query("counter_map", "SELECT map_from_entries(list((kind, n) ORDER BY kind)) AS counts FROM (SELECT event_type AS kind, count(*) AS n FROM events GROUP BY 1)")
+@query("counter_map", "SELECT '{' || string_agg('\"' || kind || '\":' || n, ',' ORDER BY kind) || '}' AS counts FROM (SELECT event_type AS kind, count(*) AS n FROM events GROUP BY 1)")
 def counter_map(t):
-    return report.as_map(report.counter(t("events"), F.col("event_type"))).select("counts")
+    return report.as_map(report.counter(t("events"), F.col("event_type"))).select(F.to_json("counts").alias("counts"))
 
 
 @query("report_left_join", """
