@@ -175,3 +175,19 @@ end = [100.0, 0.0]
         return spark.range(3)
 
     assert report.cached(spark, str(tmp_path / "t"), build).count() == report.cached(spark, str(tmp_path / "t"), build).count() == 3 and len(built) == 1
+
+
+def test_poses_and_pinhole(spark):
+    import math
+
+    from isarithm.functions import geometry as G
+
+    spot = "struct<x: double, z: double>"
+    rows = [("orbit", 0.5, (1.0, 2.0), None, None, 10.0, 4.0, 0.5, 0.0), ("reveal", 0.0, (0.0, 0.0), None, None, 100.0, 20.0, 1.0, 90.0), ("fly", 0.25, (0.0, 0.0), (0.0, 0.0), (40.0, 80.0), 0.0, 7.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, f"kind string, t double, target {spot}, start {spot}, end {spot}, radius_m double, height_m double, turns double, start_deg double")
+    out = {r["kind"]: (r["x"], r["z"], r["above"]) for r in sequence.poses(df).collect()}
+    want = {"orbit": (1.0, 12.0, 4.0), "reveal": (0.0, 25.0, 3.0), "fly": (10.0, 20.0, 7.0)}
+    assert all(math.isclose(a, b, abs_tol=1e-9) for k in want for a, b in zip(out[k], want[k], strict=True))
+    turn = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in ((1, 0, 0), (0, 0, -1), (0, 1, 0))])
+    p = one(spark, G.project(G.vec(3.0, 100.0, 48.0), G.vec(0.0, 0.0, 50.0), turn, F.lit(1000.0)))[0]
+    assert tuple(p) == (30.0, 20.0, 100.0)
