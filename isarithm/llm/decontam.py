@@ -1,15 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 Words are lower-cased runs of ASCII letters and digits and of bytes over 127. Every n-gram of a test
-item is a seed candidate; one pass counts in how many texts each occurs. Of the seeds that occur, an
-item keeps those in at most RARE_TEXTS texts or `rare` of all texts, and always its `keep` rarest
-ones, so a benchmark passage that much of the corpus copies is still found. Each place where a text holds a seed of an item fixes a
-diagonal; the item is aligned with the words around it by local alignment (match 2, mismatch and gap
--1), and a pair is a leak if its score reaches `least` of the item's perfect score.
+item is a seed, however many texts hold it: a count over texts would fall first on the seeds that
+edits of a common item destroy. Each place where a text holds a seed of an item fixes a diagonal. The
+best score that any order of the words around it could reach is an upper bound; where the bound
+reaches `least` of the item's perfect score, the item is aligned with those words by local alignment
+(match 2, mismatch and gap -1), and a pair is a leak if its score reaches it too.
 
-The corpus is never collected: the driver reads one count per seed of a block of test items. The
-test set is dealt in blocks of at most ITEMS_PER_BLOCK items, each against all texts, so what is
-broadcast is bounded by that parameter and an item's length, and does not grow with either table.
+The corpus is never collected. The test set is dealt in blocks of at most ITEMS_PER_BLOCK items, each
+against all texts, so what is broadcast is bounded by that parameter and an item's length, and does
+not grow with either table. Work grows with the places where texts hold seeds.
 
 Defined cases: a null or empty text, and an item without words, match nothing; an item shorter than
 n words is one seed and must occur whole; repeated rows are reported as one id and item pair with
@@ -31,14 +31,16 @@ from pyspark.sql import functions as F
 from isarithm.llm import words as W
 
 SEED = 3
+#: No seed is dropped any more, so leaks() takes these two and does not use them.
 RARE = 1e-4
-RARE_TEXTS = 32
 KEEP = 8
 LEAST = 0.5
 #: Test items that are broadcast at a time.
 ITEMS_PER_BLOCK = 5_000
 #: Cells of an alignment row that are held at a time.
 ROW_CELLS = 4_000_000
+#: Places of seeds, and words of items, that are looked at a time.
+HITS = 1 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 U = np.uint64
 _OTHER = np.ones(256, dtype=bool)
@@ -67,21 +69,10 @@ class Index:
         self.seeds, self.bounds = W.shingles(self.words, self.first, n)
         self.owner = np.repeat(np.arange(len(ids)), np.diff(self.bounds))
         self.place = np.arange(len(self.seeds)) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
-        self._sort(np.argsort(self.seeds, kind="stable"))
-
-    def _sort(self, order: np.ndarray) -> None:
+        order = np.argsort(self.seeds, kind="stable")
         self.seeds, self.owner, self.place = self.seeds[order], self.owner[order], self.place[order]
         self.keys = np.unique(self.seeds)
-
-    def keep_rare(self, df: dict[int, int], n_texts: int, rare: float, keep: int) -> None:
-        held = np.array([df.get(int(h), 0) for h in self.seeds.view(np.int64)], dtype=np.int64)
-        self._sort(np.flatnonzero(held))
-        held = held[held > 0]
-        order = np.lexsort((self.place, held, self.owner))
-        start = np.searchsorted(self.owner[order], np.arange(len(self.ids)))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order)) - start[self.owner[order]]
-        self._sort(np.flatnonzero((held <= max(RARE_TEXTS, rare * n_texts)) | (rank < keep)))
+        self.known, self.code = np.unique(self.words, return_inverse=True)
 
 
 def _hits(keys: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -114,22 +105,6 @@ def _seeds_of(texts: pa.Array, index: Index) -> tuple[np.ndarray, np.ndarray, np
     return h, first, np.concatenate(found), np.concatenate(place)
 
 
-def _count(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
-        total = np.zeros(len(index.keys), np.int64)
-        for batch in batches:
-            for piece in W.pieces(batch, 0):
-                _, first, seeds, place = _seeds_of(piece.column(0), index)
-                doc = np.searchsorted(first, place, side="right") - 1
-                pair = np.unique(np.stack([np.searchsorted(index.keys, seeds), doc]), axis=1)
-                total += np.bincount(pair[0], minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(index.keys[some].view(np.int64)), pa.array(total[some])], names=["h", "n"])
-
-    return run
-
-
 def align(items: np.ndarray, sizes: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best local alignment score of each row of items (rows, m) with its window (rows, w), and its end in the window.
 
@@ -155,6 +130,51 @@ def align(items: np.ndarray, sizes: np.ndarray, windows: np.ndarray) -> tuple[np
     return best, end
 
 
+def _candidates(index: Index, first: np.ndarray, seeds: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, item and band of each place where a text holds a seed of an item, each once.
+
+    Hits of one item on diagonals that differ by less than half its length share a band.
+    """
+    size = np.diff(index.first)
+    lo, hi = np.searchsorted(index.seeds, seeds), np.searchsorted(index.seeds, seeds, side="right")
+    total = np.concatenate([[0], np.cumsum(hi - lo)])
+    found, at = [np.zeros((3, 0), np.int64)], 0
+    while at < len(seeds):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + HITS, side="right")) - 1)
+        per = (hi - lo)[at:to]
+        which = np.repeat(lo[at:to], per) + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+        item, spot = index.owner[which], np.repeat(place[at:to], per)
+        doc = np.searchsorted(first, spot, side="right") - 1
+        band = (spot - index.place[which] - first[doc] + (1 << 40)) // np.maximum(size[item] // 2, 2)
+        found.append(np.unique(np.stack([doc, item, band]), axis=1))
+        at = to
+    doc, item, band = np.unique(np.concatenate(found, axis=1), axis=1) if len(found) > 2 else found[-1]
+    return doc, item, band
+
+
+def _bounds(index: Index, held: np.ndarray, span: int, item: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Upper bounds of the alignment scores of items with the words begin to end.
+
+    An item's word that occurs there counts as a match, any other one as a mismatch or gap; the best
+    stretch of the item counts. `held` is the sorted code * span + place of all words known to the index.
+    """
+    size = np.diff(index.first)
+    out = np.zeros(len(item), np.int64)
+    most = int(size[item].max())
+    step = max(1, HITS // most)
+    for lo in range(0, len(item), step):
+        k = slice(lo, lo + step)
+        col = np.arange(most)
+        code = index.code[np.minimum(index.first[item[k]][:, None] + col, len(index.code) - 1)]
+        at = np.searchsorted(held, code * span + begin[k][:, None])
+        there = held[np.minimum(at, len(held) - 1)]
+        real = (at < len(held)) & (there < code * span + end[k][:, None])
+        gain = np.where(col < size[item[k]][:, None], np.where(real, MATCH, max(MISMATCH, GAP)), 0)
+        run = np.concatenate([np.zeros((len(gain), 1), np.int64), np.cumsum(gain, axis=1)], axis=1)
+        out[k] = (run - np.minimum.accumulate(run, axis=1)).max(axis=1)
+    return out
+
+
 def _leaks(shared, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
@@ -162,19 +182,24 @@ def _leaks(shared, least: float):
         for batch in batches:
             for piece in W.pieces(batch, 0):
                 h, first, seeds, place = _seeds_of(piece.column(0), index)
-                lo, hi = np.searchsorted(index.seeds, seeds), np.searchsorted(index.seeds, seeds, side="right")
-                per = hi - lo
-                which = np.repeat(lo, per) + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-                item, spot = index.owner[which], np.repeat(place, per)
-                doc = np.searchsorted(first, spot, side="right") - 1
-                # Hits of one item on diagonals that differ by less than half its length share a window.
+                doc, item, band = _candidates(index, first, seeds, place)
+                if len(doc) == 0:
+                    continue
                 slack = np.maximum(size[item] // 2, 2)
-                band = (spot - index.place[which] - first[doc] + (1 << 40)) // slack
-                _, one = np.unique(np.stack([doc, item, band]), axis=1, return_index=True)
-                doc, item = doc[one], item[one]
-                begin = (band[one] * slack[one]) - (1 << 40) + first[doc] - slack[one]
-                length = size[item] + 3 * slack[one]
+                begin = (band * slack) - (1 << 40) + first[doc] - slack
+                length = size[item] + 3 * slack
                 order = np.argsort(length, kind="stable")
+                code = np.searchsorted(index.known, h)
+                known = np.flatnonzero(index.known[np.minimum(code, len(index.known) - 1)] == h)
+                span = len(h) + 1
+                held = np.sort(code[known] * span + known)
+                hopeful = []
+                for lo in range(0, len(order), 1 << 14):
+                    k = order[lo : lo + (1 << 14)]
+                    # As wide as the widest of them, as rows that are aligned together share a width.
+                    start, stop = np.maximum(begin[k], first[doc[k]]), np.minimum(begin[k] + length[k].max(), first[doc[k] + 1])
+                    hopeful.append(k[_bounds(index, held, span, item[k], start, stop) >= least * MATCH * size[item[k]]])
+                order = np.concatenate(hopeful)
                 results, at = [], 0
                 while at < len(order):
                     ahead = order[at : at + 256]
@@ -217,15 +242,9 @@ def leaks(
     spark = docs.sparkSession
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL AND text IS NOT NULL")
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    n_texts = None
     found = []
     for part in _blocks(items, block):
         index = Index(part["item"].to_numpy(), pa.array(part["text"], pa.string()), n)
-        if n_texts is None:
-            n_texts = rows.count()
-        counted = rows.select("text").mapInArrow(_count(spark.sparkContext.broadcast(index)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-        held = counted.toPandas()
-        index.keep_rare(dict(zip(held["h"].tolist(), held["n"].tolist(), strict=True)), n_texts, rare, keep)
         found.append(rows.mapInArrow(_leaks(spark.sparkContext.broadcast(index), least), "id long, item long, score double, end long"))
     if not found:
         return spark.createDataFrame([], f"{id_col} long, {item_col} long, score double, end long")

@@ -256,3 +256,38 @@ def test_common_passages_keep_their_seeds(spark):
     rows = [(i, text(rng, 2) + " " + (item if i % 3 else "") + " " + text(rng, 2)) for i in range(150)]
     got = decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"), rare=0.0)
     assert {r["doc_id"] for r in got.collect()} == {i for i in range(150) if i % 3}
+
+
+def test_edited_copies_of_common_items_are_found(spark):
+    """Of items that many texts hold, whole or in part, a copy whose rarest seeds are edited away is found."""
+    rng = random.Random(21)
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(45))) for k in range(8)]
+    rows, edited = [], []
+    for k, b in items:
+        w = b.split() if k % 2 else b.split()[5:38]
+        rows += [(100 * k + j, text(rng, 2) + " " + " ".join(w) + " " + text(rng, 2)) for j in range(40)]
+        for at in rng.sample(range(3, len(w) - 3), 9 if k % 2 else 3):
+            w[at] = "swapped"
+        edited.append((1000 + k, text(rng, 2) + " " + " ".join(w) + " " + text(rng, 2)))
+    rows += edited + [(5000 + k, text(rng, 4)) for k in range(20)]
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = plain_leaks(edited, items)
+    assert len(want) == 8 and set(want) <= set(got)
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want) and len(got) == 8 * 41
+
+
+def test_bounds_hold():
+    """No alignment scores over the bound by which it is left out."""
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    items = [" ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(1, 25))) for _ in range(200)]
+    index = decontam.Index(np.arange(200), pa.array(items), 3)
+    for _ in range(5):
+        h, _first = decontam._hashed(pa.array([" ".join(f"w{rng.randrange(60)}" for _ in range(80))]))
+        code = np.searchsorted(index.known, h)
+        known = np.flatnonzero(index.known[np.minimum(code, len(index.known) - 1)] == h)
+        begin = np.array([rng.randrange(60) for _ in items])
+        bound = decontam._bounds(index, np.sort(code[known] * 81 + known), 81, np.arange(200), begin, begin + 20)
+        for k in range(200):
+            assert plain_align(index.words[index.first[k] : index.first[k + 1]].tolist(), h[begin[k] : begin[k] + 20].tolist()) <= bound[k]
