@@ -156,7 +156,7 @@ def op9_consistent_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later occurrences of repeated passages."""
-    return substring.drop_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_sentences", "n_removed", "text")
+    return substring.drop_repeats(_table(spark, sf_dir, "documents"), passage=substring.PASSAGE).select("doc_id", "n_sentences", "n_removed", "text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

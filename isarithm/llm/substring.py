@@ -1,15 +1,23 @@
-"""Repeated passages across documents, found as sliding runs of consecutive sentences.
+"""Repeated passages across documents, found as sliding runs of consecutive sentences and as windows of words.
 
 A sentence ends after a word whose last byte is one of . ! ? (before a blank), before a line feed, or
 after MAX_WORDS words, so that unpunctuated text has sentences too. From every sentence the shortest
 run of at least RUN sentences and MIN_WORDS words is hashed, forwards and backwards, so that each
-sentence of a repeated passage lies in some run of it. A document settles its own repetitions; its
-first run of each hash is joined globally on that hash. The first occurrence, by id and then place,
-stays, and every sentence under any other one is removed. Blanks between words do not count for
-equality; removed sentences take the blanks after them along.
+sentence of a repeated passage lies in some run of it.
+
+A passage may also start and end inside sentences, or stand in unpunctuated text at another offset,
+where sentences of MAX_WORDS words are cut differently. Given `passage`, windows of passage - EDGE words
+are hashed at every word, and of every EDGE + 1 consecutive ones the least hash is taken. That depends on
+the words alone: any `passage` words that occur twice share a window, wherever they stand. Of a passage
+found only this way up to EDGE words at either end can stay. Without `passage` there are runs alone.
+
+A document settles its own repetitions (windows only where they do not overlap); its first run or
+window of each hash is joined globally on that hash. The first occurrence, by id and then place,
+stays, and every word under any other one is removed. Blanks between words do not count for equality;
+removed words take the blanks after them along. A sentence counts as removed if it lost words.
 
 Defined cases: a null text stays null and an empty one empty; a text with fewer sentences or words
-than a run is never changed; rows without an id lose only their own repetitions; rows that share an
+than a run, and fewer words than `passage`, is never changed; rows without an id lose only their own repetitions; rows that share an
 id are one document to the order of occurrences, and exact repetitions of such a row are treated
 alike; an empty table stays empty; all other columns pass through, whatever their names. Memory is bounded by the longest single text.
 """
@@ -29,6 +37,9 @@ from isarithm.llm import words as W
 RUN = 3
 MIN_WORDS = 25
 MAX_WORDS = 16
+#: Words of a passage that is found wherever it stands, and how many at either end of it can stay.
+PASSAGE = 50
+EDGE = 10
 U = np.uint64
 _RATIO = W.ODD[300]
 _INVERSE = U(pow(int(_RATIO), -1, 2**64))
@@ -74,6 +85,24 @@ def runs(w: W.Words, first: np.ndarray, least: int = RUN, words: int = MIN_WORDS
     return W.mix(((sums[b] - sums[a]) * under[a]) ^ ((b - a).astype(np.uint64) * W.ODD[309])), a, b
 
 
+def windows(w: W.Words, passage: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first word of the windows that have the least hash of some `passage` words of a document."""
+    n = len(w.starts)
+    if passage is None or n < passage:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    size = passage - EDGE
+    h = W.word_hashes(w)
+    power = np.cumprod(np.full(n, _RATIO))
+    under = np.cumprod(np.full(n, _INVERSE))
+    sums = np.concatenate([[U(0)], np.cumsum(W.mix(h ^ W.ODD[311]) * power)])
+    h = W.mix(((sums[size:] - sums[:-size]) * under[: n - size + 1]) ^ W.ODD[312])
+    least = np.lib.stride_tricks.sliding_window_view(h, EDGE + 1).argmin(axis=1)
+    doc = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
+    inside = doc[: n - passage + 1] == doc[passage - 1 :]
+    at = np.unique((np.arange(len(least)) + least)[inside])
+    return h[at], at
+
+
 def _once(h: np.ndarray, doc: np.ndarray, a: np.ndarray) -> np.ndarray:
     """Mask of each document's first run of each hash."""
     order = np.lexsort((a, h, doc))
@@ -83,81 +112,114 @@ def _once(h: np.ndarray, doc: np.ndarray, a: np.ndarray) -> np.ndarray:
     return out
 
 
-def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for piece in W.pieces(batch, 0):
-            w = W.split(*W.flat(piece.column(0)))
-            first = sentences(w)
-            h, a, b = runs(w, first)
-            bounds = np.searchsorted(first, w.first)
-            doc = np.searchsorted(bounds, a, side="right") - 1
-            ids = piece.column(1).to_numpy(zero_copy_only=False)
-            one = _once(h, doc, a)
-            h, a, b, doc = h[one], a[one], b[one], doc[one]
-            at = ((a - bounds[doc]) << 16) | np.minimum(b - a, 65535)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[doc]), pa.array(at)], names=["h", "id", "at"])
-
-
-def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without the sentences under their spans, with the counts of sentences and of those removed."""
-    for batch in batches:
-        for piece in W.pieces(batch, 0):
-            spans = piece.column(1)
-            w = W.split(*W.flat(piece.column(0)))
-            first = sentences(w)
-            bounds = np.searchsorted(first, w.first)
-            at = spans.flatten().to_numpy().astype(np.int64)
-            owner = np.repeat(np.arange(piece.num_rows), np.asarray(spans.value_lengths().fill_null(0)))
-            cover = np.zeros(len(first) + 1, np.int64)
-            h, a, b = runs(w, first)
-            again = ~_once(h, np.searchsorted(bounds, a, side="right"), a)
-            np.add.at(cover, a[again], 1)
-            np.add.at(cover, b[again], -1)
-            a = bounds[owner] + (at >> 16)
-            np.add.at(cover, a, 1)
-            np.add.at(cover, a + (at & 65535), -1)
-            gone = np.cumsum(cover)[:-1] > 0
-            n_gone = np.diff(np.concatenate([[0], np.cumsum(gone)])[bounds])
-            # A sentence's bytes run to the next one's first word; what stands before the first word is its own.
-            begin = w.starts[first]
-            begin[bounds[:-1][np.diff(bounds) > 0]] = w.docs[:-1][np.diff(bounds) > 0]
-            edge = np.append(begin, len(w.data))
-            kept: list[bytes | None] = []
-            raw = w.data.tobytes()
-            missing = np.asarray(piece.column(0).is_null())
-            for d in range(piece.num_rows):
-                lo, hi = bounds[d], bounds[d + 1]
-                if missing[d]:
-                    kept.append(None)
-                elif n_gone[d] == 0:
-                    kept.append(raw[w.docs[d] : w.docs[d + 1]])
-                else:
-                    live = np.flatnonzero(~gone[lo:hi]) + lo
-                    kept.append(b"".join(raw[edge[k] : edge[k + 1] if k + 1 < hi else w.docs[d + 1]] for k in live))
-            new_text = pa.array(kept, pa.binary()).cast(pa.string())
-            rest = [piece.column(k) for k in range(2, piece.num_columns)]
-            yield pa.RecordBatch.from_arrays([new_text, pa.array(np.diff(bounds)), pa.array(n_gone), *rest], names=["text", "n_sentences", "n_removed", *piece.schema.names[2:]])
-
-
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, spans) of the documents that hold a non-first occurrence; a span is first sentence << 16 | length."""
+def _spans(passage: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in W.pieces(batch, 0):
+                w = W.split(*W.flat(piece.column(0)))
+                first = sentences(w)
+                h, a, b = runs(w, first)
+                bounds = np.searchsorted(first, w.first)
+                doc = np.searchsorted(bounds, a, side="right") - 1
+                ids = piece.column(1).to_numpy(zero_copy_only=False)
+                one = _once(h, doc, a)
+                h, a, b, doc = h[one], a[one], b[one], doc[one]
+                at = ((a - bounds[doc]) << 16) | np.minimum(b - a, 65535)
+                g, a = windows(w, passage)
+                owner = np.searchsorted(w.first, a, side="right") - 1
+                one = _once(g, owner, a)
+                g, a, owner = g[one], a[one], owner[one]
+                h, doc, at = np.concatenate([h, g]), np.concatenate([doc, owner]), np.concatenate([at, w.first[owner] - a - 1])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[doc]), pa.array(at)], names=["h", "id", "at"])
+
+    return run
+
+
+def _own_windows(w: W.Words, passage: int | None) -> np.ndarray:
+    """First words of the windows that repeat a former one of their document and do not overlap it."""
+    h, at = windows(w, passage)
+    if len(at) == 0:
+        return at
+    doc = np.searchsorted(w.first, at, side="right") - 1
+    order = np.lexsort((at, h, doc))
+    h, at, doc = h[order], at[order], doc[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    return at[at >= at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))] + passage - EDGE]
+
+
+def _rewrite(passage: int | None):
+    """Texts without the words under their spans, with the counts of sentences and of those that lost words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in W.pieces(batch, 0):
+                spans = piece.column(1)
+                w = W.split(*W.flat(piece.column(0)))
+                first = sentences(w)
+                bounds = np.searchsorted(first, w.first)
+                at = spans.flatten().to_numpy().astype(np.int64)
+                owner = np.repeat(np.arange(piece.num_rows), np.asarray(spans.value_lengths().fill_null(0)))
+                word = np.append(first, len(w.starts))  # of each sentence the first one
+                cover = np.zeros(len(w.starts) + 1, np.int64)
+                h, a, b = runs(w, first)
+                again = ~_once(h, np.searchsorted(bounds, a, side="right"), a)
+                own = _own_windows(w, passage)
+                span, of = at[at >= 0], owner[at >= 0]
+                a, b = np.concatenate([a[again], bounds[of] + (span >> 16)]), np.concatenate([b[again], bounds[of] + (span >> 16) + (span & 65535)])
+                size = passage - EDGE if passage else 0
+                over = w.first[owner[at < 0] + 1]  # rows that share an id can be shorter than its windows say
+                begin = np.minimum(w.first[owner[at < 0]] - at[at < 0] - 1, over)
+                np.add.at(cover, np.concatenate([word[a], own, begin]), 1)
+                np.add.at(cover, np.concatenate([word[b], own + size, np.minimum(begin + size, over)]), -1)
+                gone = np.cumsum(cover)[:-1] > 0
+                hurt = np.add.reduceat(gone.astype(np.int64), first) > 0 if len(first) else np.zeros(0, bool)
+                n_gone = np.diff(np.concatenate([[0], np.cumsum(hurt)])[bounds])
+                # A word's bytes run to the next one; what stands before the first word of a text is its own.
+                begin = w.starts.copy()
+                begin[w.first[:-1][np.diff(w.first) > 0]] = w.docs[:-1][np.diff(w.first) > 0]
+                edge = np.append(begin, len(w.data))
+                kept: list[bytes | None] = []
+                raw = w.data.tobytes()
+                missing = np.asarray(piece.column(0).is_null())
+                for d in range(piece.num_rows):
+                    lo, hi = w.first[d], w.first[d + 1]
+                    if missing[d]:
+                        kept.append(None)
+                    elif n_gone[d] == 0:
+                        kept.append(raw[w.docs[d] : w.docs[d + 1]])
+                    else:
+                        turns = np.flatnonzero(np.diff(np.concatenate([[True], gone[lo:hi], [True]]))) + lo
+                        kept.append(b"".join(raw[edge[j] : edge[k] if k < hi else w.docs[d + 1]] for j, k in turns.reshape(-1, 2)))
+                new_text = pa.array(kept, pa.binary()).cast(pa.string())
+                rest = [piece.column(k) for k in range(2, piece.num_columns)]
+                yield pa.RecordBatch.from_arrays([new_text, pa.array(np.diff(bounds)), pa.array(n_gone), *rest], names=["text", "n_sentences", "n_removed", *piece.schema.names[2:]])
+
+    return run
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int | None = None) -> DataFrame:
+    """(id, spans) of the documents that hold a non-first occurrence.
+
+    A span is first sentence << 16 | length, or, for a window, -1 - first word.
+    """
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{id_col}`").cast("long").alias("id")).where("id IS NOT NULL AND text IS NOT NULL")
-    found = rows.mapInArrow(_spans, "h long, id long, at long")
+    found = rows.mapInArrow(_spans(passage), "h long, id long, at long")
     first = found.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("first")).where("n > 1").select("h", "first")
     later = found.join(first, "h").where((F.col("id") != F.col("first.id")) | (F.col("at") != F.col("first.at")))
     return later.groupBy("id").agg(F.collect_set("at").alias("spans"))
 
 
-def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int | None = None) -> DataFrame:
     """The rows with every later occurrence of a repeated passage cut from the text.
 
-    Adds n_sentences and n_removed; a clashing input column of that name is replaced.
+    Adds n_sentences and n_removed, the number of those that lost words; a clashing input column of that name is replaced.
     """
-    spans = repeated_spans(docs, id_col, text_col)
+    spans = repeated_spans(docs, id_col, text_col, passage)
     names = [c for c in docs.columns if c not in (text_col, "n_sentences", "n_removed")]
     keyed = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
     joined = keyed.join(spans.withColumnRenamed("id", "_id"), "_id", "left").select("text", "spans", "_row")
     layout = T.StructType().add("text", "string").add("n_sentences", "long").add("n_removed", "long").add("_row", joined.schema["_row"].dataType)
-    out = joined.mapInArrow(_rewrite, layout)
+    out = joined.mapInArrow(_rewrite(passage), layout)
     back = [F.col("text").alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns if c not in ("n_sentences", "n_removed")]
     return out.select(*back, "n_sentences", "n_removed")

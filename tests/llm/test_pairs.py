@@ -179,6 +179,42 @@ def test_a_planted_passage_goes_everywhere_but_once(spark):
     assert all(out[i].startswith(rows[i][1][:40]) and out[i].endswith(rows[i][1][-40:]) for i in out)
 
 
+@pytest.mark.parametrize("stops", [0, 20, 40])
+def test_passages_at_any_offset_are_found(spark, stops):
+    """Passages of 55 words that start and end in mid-sentence, in text without stops or with sentences of up to 20 or 40 words."""
+    rng = random.Random(31 + stops)
+
+    def running(n):
+        out = []
+        while len(out) < n:
+            k = rng.randrange(stops // 2, stops + 1) if stops else n
+            out += [f"v{rng.randrange(10**6)}" for _ in range(k)]
+            out[-1] += "." if stops else ""
+        return out[:n]
+
+    rows, passages = [], []
+    for k in range(40):
+        p = running(200)[70:125]
+        passages.append(p)
+        for copy in range(2):
+            rows.append((2 * k + copy, " ".join(running(rng.randrange(30, 90)) + p + running(rng.randrange(30, 90)))))
+    out = {r["doc_id"]: r for r in substring.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"), passage=50).collect()}
+    ends = 10  # words at either end that may stay
+    for k, p in enumerate(passages):
+        first, later = out[2 * k], out[2 * k + 1]
+        assert first["text"] == rows[2 * k][1] and first["n_removed"] == 0
+        assert later["n_removed"] > 0 and not set(p[ends:-ends]) & set(later["text"].split())
+        assert [x for x in rows[2 * k + 1][1].split() if x not in set(p)] == [x for x in later["text"].split() if x not in set(p)]
+
+
+def test_a_passage_twice_in_one_text_goes_once(spark):
+    p = [f"p{i}" for i in range(60)]
+    body = [f"a{i}" for i in range(37)] + p + [f"b{i}" for i in range(21)] + p + [f"c{i}" for i in range(9)]
+    [row] = substring.drop_repeats(spark.createDataFrame([(1, " ".join(body))], "doc_id long, text string"), passage=50).collect()
+    got = row["text"].split()
+    assert got[:118] == body[:118] and got[-9:] == body[-9:] and row["n_removed"] > 0 and len(got) <= 118 + 20 + 9
+
+
 def plain_align(a, b):
     h = np.zeros((len(a) + 1, len(b) + 1), int)
     for i in range(len(a)):
