@@ -312,6 +312,16 @@ def test_edited_copies_of_common_items_are_found(spark):
     assert all(abs(got[p] - want[p]) < 1e-9 for p in want) and len(got) == 8 * 41
 
 
+def test_rows_without_an_id_are_judged(spark):
+    rng = random.Random(12)
+    item = text(rng, 4)
+    leak, clean = text(rng, 2) + " " + item, text(rng, 5)
+    rows = [(None, leak), (None, clean), (None, None), (1, leak), (1, clean), (2, clean), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = decontam.decontaminate(df, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert key(map(tuple, kept)) == key(r for r in rows if r[1] != leak)
+
+
 def test_bounds_hold():
     """No alignment scores over the bound by which it is left out."""
     import pyarrow as pa
