@@ -1,10 +1,10 @@
-"""N-gram Jaccard self-join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard self-join by MinHash banding with exact verification.
 
-Each distinct text has a MinHash signature, cut into one label per tree. In a tree, labels sorted as
-strings of hashes form a prefix trie; two texts meet at the depth of their common prefix. Starting
-from the full depth, prefixes are shortened until the chance that a pair at the threshold meets in
-some tree reaches the target recall (`depth_for`). All texts under one prefix of that depth are
-candidates of each other; every candidate pair is verified exactly on its whole shingle sets.
+Each distinct text has a MinHash signature, cut into one label per tree (band). This is fixed banding and
+no LSH forest: before any data is read, `depth_for` computes the most hashes of a label at which a pair at
+the threshold agrees in some tree with the target recall, 1 at least (also where 1 does not reach it, under
+a threshold of about 0.4). All texts whose first so many hashes agree in a tree are candidates of each other; every
+candidate pair is verified exactly on its whole shingle sets.
 
 Pairs are never rows. A prefix with many texts is dealt out as cells of block against block, and a
 cell hands on, for each of its texts, how many new links it has there and the smallest text it is
