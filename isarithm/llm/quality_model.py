@@ -7,7 +7,7 @@ probability. Long documents only have more chunks. Training is Adam on the log l
 a maximum goes to the chunk that holds it.
 
 Training draws the SAMPLE_PER_CLASS labelled ids of each class with the smallest hash and takes their
-documents of at most SAMPLE_BYTES bytes; the class sizes of all labelled rows set the prior. Scores read the text only.
+documents whole, however long, so the driver holds those texts; the class sizes of all labelled rows set the prior. Scores read the text only.
 
 Defined cases: a null or empty text is scored as one empty chunk; null and unknown labels are not
 learned from; several labels of one id are all learned from; if only one class has labels, every
@@ -36,7 +36,6 @@ BATCH = 64
 RATE = 0.02
 DECAY = 1e-5
 SAMPLE_PER_CLASS = 1200
-SAMPLE_BYTES = 30_000
 THRESHOLD = 0.7
 
 
@@ -161,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     sizes = {row[0]: row[1] for row in marks.groupBy("y").count().collect()}
     if len(sizes) < 2:
         return float(next(iter(sizes), 1))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(f"octet_length(text) <= {SAMPLE_BYTES}")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     # Ids are drawn from the labels alone: at most 2 * SAMPLE_PER_CLASS of them, so their texts take no shuffle.
     drawn = [marks.where(F.col("y") == label).distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_CLASS) for label in (0, 1)]
     sample = rows.join(F.broadcast(drawn[0].union(drawn[1])), "id").select("id", "text", "y")

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -208,3 +209,15 @@ def test_chat_query_holds_the_hard_conversation(spark, sf):
     row = op5_chat(spark, sf).where("conv_id = -7").first()
     assert row["turns_sha256"] == hashlib.sha256(f"user\n{hard}\nassistant\n{hard}\n".encode()).hexdigest()
     assert row["loss_sha256"] == hashlib.sha256(hard.encode()).hexdigest() and row["loss_chars"] == len(hard)
+
+
+def test_quality_learns_from_long_documents(spark, monkeypatch):
+    """All documents of a class are over 30,000 bytes long."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(("zzqx", "qqzk", "xkzz")) for _ in range(6200))) if i % 2 else (i, " ".join(rng.choice(("the", "and", "tree")) for _ in range(60))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(quality_model, "STEPS", 30)
+    net = quality_model.train(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"))
+    assert isinstance(net, quality_model.Net)
+    got = {r["doc_id"]: r["score"] for r in quality_model.score(docs, net).collect()}
+    assert min(got[i] for i in range(1, 40, 2)) > max(got[i] for i in range(0, 40, 2))
