@@ -1,6 +1,7 @@
 """Near copies, repeated passages and benchmark leaks against plain versions."""
 
 import collections
+import functools
 import random
 import re
 
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from isarithm.llm import components, decontam, jaccard, substring
+from isarithm.llm import words as W
 from tests.llm.conftest import SCHEMA, edge_rows, text
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -105,40 +107,59 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@functools.cache
+def word_hash(word):
+    import pyarrow as pa
+
+    w = W.split(*W.flat(pa.array([word])))
+    return int((W.mix(W.word_hashes(w) ^ W.ODD[313]) | np.uint64(1))[0])
+
+
 def cut_sentences(t):
-    out, cur, prev = [], [], None
+    """Natural sentences, and within them a cut after the least word of every CUT consecutive ones."""
+    natural, prev = [], None
     for m in WORD.finditer(t):
-        if cur and (prev.group()[-1] in ".!?" or "\n" in t[prev.end() : m.start()] or len(cur) == substring.MAX_WORDS):
-            out.append(cur)
-            cur = []
-        cur.append(m)
+        if prev is None or prev.group()[-1] in ".!?" or "\n" in t[prev.end() : m.start()]:
+            natural.append([])
+        natural[-1].append(m)
         prev = m
-    return out + [cur] if cur else out
+    out = []
+    for s in natural:
+        h, ends = [word_hash(m.group()) for m in s], {len(s) - 1}
+        for a in range(len(s) - substring.CUT + 1):
+            part = h[a : a + substring.CUT]
+            ends |= {a + k for k, x in enumerate(part) if x == min(part)}
+        lo = 0
+        for e in sorted(ends):
+            out.append(s[lo : e + 1])
+            lo = e + 1
+    return out
 
 
 def plain_removal(rows):
     occurrences, parts = collections.defaultdict(list), {}
-    for n, (i, t) in enumerate(rows):
+    key = {n: (i is None, i or 0, t) for n, (i, t) in enumerate(rows)}
+    for n, (_, t) in enumerate(rows):
         if t is None:
             continue
         s = parts[n] = cut_sentences(t)
         w, size = [[m.group() for m in x] for x in s], [len(x) for x in s]
-        runs = set()
+        found = set()
         for a in range(len(s)):
             b = next((b for b in range(a + substring.RUN, len(s) + 1) if sum(size[a:b]) >= substring.MIN_WORDS), None)
             if b:
-                runs.add((a, b))
+                found.add((a, b))
             c = next((c for c in range(a + 1 - substring.RUN, -1, -1) if sum(size[c : a + 1]) >= substring.MIN_WORDS), None)
             if c is not None:
-                runs.add((c, a + 1))
-        for a, b in runs:
-            occurrences[tuple(map(tuple, w[a:b]))].append((i, a, b, n))
+                found.add((c, a + 1))
+        for a, b in found:
+            occurrences[tuple(map(tuple, w[a:b]))].append((a, b, n))
     gone = collections.defaultdict(set)
     for found in occurrences.values():
-        first = min((f[:2] for f in found if f[0] is not None), default=None)
-        for i, a, b, n in found:
-            own = min(f[1] for f in found if f[3] == n)
-            if a > own or (i is not None and (i, a) != first):
+        # Of rows with one id and several texts the order is that of text hashes, which no test row depends on.
+        first = min((*key[n], a) for a, b, n in found)
+        for a, b, n in found:
+            if (*key[n], a) != first:
                 gone[n] |= set(range(a, b))
     out = []
     for n, (i, t) in enumerate(rows):
@@ -179,10 +200,13 @@ def test_a_planted_passage_goes_everywhere_but_once(spark):
     assert all(out[i].startswith(rows[i][1][:40]) and out[i].endswith(rows[i][1][-40:]) for i in out)
 
 
-@pytest.mark.parametrize("stops", [0, 20, 40])
-def test_passages_at_any_offset_are_found(spark, stops):
-    """Passages of 55 words that start and end in mid-sentence, in text without stops or with sentences of up to 20 or 40 words."""
-    rng = random.Random(31 + stops)
+@pytest.mark.parametrize(("stops", "length"), [(0, 60), (0, 54), (20, 54), (40, 60)])
+def test_passages_at_any_offset_are_found(spark, stops, length):
+    """Passages that start and end in mid-sentence, in text without stops or with sentences of up to 20 or 40 words.
+
+    The check knows words alone: all of a passage but up to 2 * CUT - 1 words at either end must go from its second copy.
+    """
+    rng = random.Random(31 + stops + length)
 
     def running(n):
         out = []
@@ -193,13 +217,13 @@ def test_passages_at_any_offset_are_found(spark, stops):
         return out[:n]
 
     rows, passages = [], []
-    for k in range(40):
-        p = running(200)[70:125]
+    for k in range(50):
+        p = running(200)[70 : 70 + length]
         passages.append(p)
         for copy in range(2):
             rows.append((2 * k + copy, " ".join(running(rng.randrange(30, 90)) + p + running(rng.randrange(30, 90)))))
-    out = {r["doc_id"]: r for r in substring.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"), passage=50).collect()}
-    ends = 10  # words at either end that may stay
+    out = {r["doc_id"]: r for r in substring.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    ends = 2 * substring.CUT - 1
     for k, p in enumerate(passages):
         first, later = out[2 * k], out[2 * k + 1]
         assert first["text"] == rows[2 * k][1] and first["n_removed"] == 0
@@ -210,9 +234,46 @@ def test_passages_at_any_offset_are_found(spark, stops):
 def test_a_passage_twice_in_one_text_goes_once(spark):
     p = [f"p{i}" for i in range(60)]
     body = [f"a{i}" for i in range(37)] + p + [f"b{i}" for i in range(21)] + p + [f"c{i}" for i in range(9)]
-    [row] = substring.drop_repeats(spark.createDataFrame([(1, " ".join(body))], "doc_id long, text string"), passage=50).collect()
+    [row] = substring.drop_repeats(spark.createDataFrame([(1, " ".join(body))], "doc_id long, text string")).collect()
     got = row["text"].split()
-    assert got[:118] == body[:118] and got[-9:] == body[-9:] and row["n_removed"] > 0 and len(got) <= 118 + 20 + 9
+    assert got[:118] == body[:118] and got[-9:] == body[-9:] and row["n_removed"] > 0 and len(got) <= 118 + 30 + 9
+
+
+def test_rows_of_one_id_or_none_are_documents_of_their_own(spark):
+    rng = random.Random(19)
+    passage, own = text(rng, 9), [text(rng, 6) for _ in range(5)]
+    rows = [(1, own[0]), (1, own[1] + "\n" + passage + "\n" + own[2]), (2, passage), (None, own[3] + "\n" + passage), (None, own[4]), (2, passage)]
+    out = substring.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert key(map(tuple, out.select("doc_id", "text", "n_sentences", "n_removed").collect())) == key(plain_removal(rows))
+    texts = [r["text"] for r in out.collect()]
+    assert sum(passage[:60] in t for t in texts) == 1
+
+
+def test_a_full_bitmap_loses_nothing(spark, docs):
+    """However few bits there are, the result is the same."""
+    want = substring.drop_repeats(docs).select("doc_id", "n_sentences", "n_removed", F.md5("text"))
+    few = substring.drop_repeats(docs, bits=1 << 15).select("doc_id", "n_sentences", "n_removed", F.md5("text"))
+    assert key(map(tuple, want.collect())) == key(map(tuple, few.collect()))
+
+
+def test_runs_with_one_equal_hash_are_told_apart(monkeypatch, spark):
+    """With all first hashes equal the second one still separates the runs."""
+    real = substring.runs
+
+    def blind(w, first, *rest):
+        h, a, b = real(w, first, *rest)
+        return np.stack([h[0] * np.uint64(0), h[1]]), a, b
+
+    rng = random.Random(23)
+    passage = text(rng, 9)
+    rows = [(k, text(rng, 6) + "\n" + passage + "\n" + text(rng, 6)) for k in range(4)] + [(9, text(rng, 30))]
+    import pyarrow as pa
+
+    arrays = pa.array([t for _, t in rows])
+    h, doc, at = substring._own_runs(arrays)
+    monkeypatch.setattr(substring, "runs", blind)
+    g, doc2, at2 = substring._own_runs(arrays)
+    assert not g[0].any() and sorted(zip(g[1], doc2, at2)) == sorted(zip(h[1], doc, at))
 
 
 def plain_align(a, b):
