@@ -31,9 +31,6 @@ from pyspark.sql import functions as F
 from isarithm.llm import words as W
 
 SEED = 3
-#: No seed is dropped any more, so leaks() takes these two and does not use them.
-RARE = 1e-4
-KEEP = 8
 LEAST = 0.5
 #: Test items that are broadcast at a time.
 ITEMS_PER_BLOCK = 5_000
@@ -236,7 +233,7 @@ def _blocks(items: DataFrame, most: int) -> Iterator[pd.DataFrame]:
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    n: int = SEED, rare: float = RARE, keep: int = KEEP, least: float = LEAST, block: int = ITEMS_PER_BLOCK,
+    n: int = SEED, least: float = LEAST, block: int = ITEMS_PER_BLOCK,
 ) -> DataFrame:
     """(id, item, score, end): every text and test item that align, with the best score and the aligned part's end in words."""
     spark = docs.sparkSession

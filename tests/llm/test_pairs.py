@@ -18,8 +18,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 def plain_classes(rows, n=5, least=0.8):
     rep = {}
-    for i, t in sorted((i, t) for i, t in rows if i is not None and t is not None):
-        rep.setdefault(t, i)
+    for i, t in rows:
+        if t is not None:
+            rep[t] = min((x for x in (rep.get(t), i) if x is not None), default=None)
     sets = {}
     for t, i in rep.items():
         w = WORD.findall(t)
@@ -39,12 +40,11 @@ def plain_classes(rows, n=5, least=0.8):
             if len(x & y) / len(x | y) >= least:
                 links[texts[a]] += 1
                 links[texts[b]] += 1
-                p, q = sorted((root(texts[a]), root(texts[b])), key=lambda t: rep[t])
-                up[q] = p
-    low = collections.defaultdict(lambda: 10**18)
+                up[root(texts[a])] = root(texts[b])
+    low = {}
     for t, i in rep.items():
-        low[root(t)] = min(low[root(t)], i)
-    return [(i, rep[t], low[root(t)], links[t]) if i is not None and t is not None else (i, i, i, 0) for i, t in rows]
+        low[root(t)] = min((x for x in (low.get(root(t)), i) if x is not None), default=None)
+    return [(i, rep[t], low[root(t)], links[t]) if t is not None else (i, i, i, 0) for i, t in rows]
 
 
 def key(rows):
@@ -93,11 +93,83 @@ def test_jaccard_empty(edges):
     assert jaccard.jaccard_classes(edges.limit(0)).count() == 0
 
 
-def test_depth_reaches_the_target():
-    for recall in (0.9, 0.99, 0.9999999):
-        d = jaccard.depth_for(0.8, recall)
-        assert 1 - (1 - 0.8**d) ** jaccard.TREES >= recall
-    assert jaccard.depth_for(0.8, 0.5) > jaccard.depth_for(0.8, 0.9999999)
+def test_texts_that_share_an_id_keep_their_links(spark):
+    rng = random.Random(14)
+    a, b = text(rng, 20), text(rng, 20)
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, text(rng, 20)), (None, a), (None, a + " z w")]
+    got = jaccard.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert key(map(tuple, got)) == key(plain_classes(rows))
+    assert {(r["doc_id"], r["n_links"]) for r in got if r["doc_id"] == 3} == {(3, 1)}
+
+
+def near_pairs(rng, n, edits):
+    """Pairs of texts, the second with words replaced at the places of one of the edits, and their exact similarity."""
+    rows, similar = [], {}
+    for k in range(n):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(121)]
+        v = list(w)
+        for at in rng.choice(edits):
+            v[at] = "edited"
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+        x, y = ({tuple(u[a : a + 5]) for a in range(117)} for u in (w, v))
+        similar[2 * k] = len(x & y) / len(x | y)
+    return rows, similar
+
+
+def test_prefixes_are_shortened_until_the_recall_is_reached(spark, monkeypatch):
+    """Pairs near a low threshold need shorter prefixes than those far over a high one; every link is found."""
+    depths = []
+    real = jaccard._links_at
+    monkeypatch.setattr(jaccard, "_links_at", lambda reps, texts, depth, *rest: depths.append(depth) or real(reps, texts, depth, *rest))
+    for threshold, edits, last in ((0.8, [[50]], 5), (0.8, [[20, 60, 63]], 4), (0.3, [[20, 60, 90], range(4, 60, 7), range(4, 75, 7)], 1)):
+        rows, similar = near_pairs(random.Random(3), 150, edits)
+        depths.clear()
+        got = {r["doc_id"]: r["n_links"] for r in jaccard.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold).collect()}
+        assert {k for k in similar if got[k]} == {k for k, s in similar.items() if s >= threshold}
+        assert depths[0] == jaccard.MAX_DEPTH and depths[-1] <= last and depths == sorted(depths, reverse=True)
+        assert threshold > 0.5 or depths[-1] < 4
+
+
+def test_chances_to_meet_and_to_be_verified():
+    """A pair at the threshold meets by the last depth, and its signatures agree enough, but for a chance of 1e-6."""
+    from math import comb
+
+    assert 1 - jaccard.chance(0.8, 4) < 1e-7 and jaccard.chance(0.8, 5) >= jaccard.SEEN > jaccard.chance(0.3, 3)
+    n, least = jaccard.TREES * jaccard.MAX_DEPTH, jaccard._least_agreement(0.8)
+    assert sum(comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(least)) < 1e-6
+
+
+def test_one_row_of_each_class_stays(spark, edges, clashing):
+    for df in (edges, clashing):
+        rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
+        kept = jaccard.keep_first(df)
+        assert kept.columns == df.columns
+        want, classes = [], plain_classes(rows)
+        seen = set()
+        for (i, t), (_, own, low, _) in sorted(zip(rows, classes, strict=True), key=lambda x: (x[0][0] is None, x[0][0] or 0)):
+            if t is None or (i == own == low and (low, t) not in seen):
+                seen.add((low, t))
+                want.append((i, t))
+        assert key((r["doc_id"], r["text"]) for r in kept.collect()) == key(want)
+    rng = random.Random(9)
+    t, other = text(rng, 20), text(rng, 20)
+    rows = [(1, t, "a"), (1, t, "b"), (2, t + " more", "c"), (None, t, "d"), (None, other, "e"), (None, other, "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [key(map(tuple, jaccard.keep_first(d).collect())) for d in (df, df.repartition(3), df.orderBy(F.desc("source")))]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 2 and {r[1] for r in got[0]} == {t, other}
+    assert jaccard.keep_first(df.limit(0)).count() == 0
+
+
+def test_cells_are_never_parted(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard, "HELD_ROWS", 7)
+    cell = np.repeat(np.arange(30), np.random.default_rng(0).integers(1, 12, 30))
+    batch = pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.arange(len(cell)))], names=["cell", "k"])
+    for size in (1, 5, 40, len(cell)):
+        tables = list(jaccard._runs(batch.slice(a, size) for a in range(0, len(cell), size)))
+        assert np.concatenate([t.column(1).to_numpy() for t in tables]).tolist() == list(range(len(cell)))
+        assert sum(len(set(t.column(0).to_pylist())) for t in tables) == 30
 
 
 def test_components(spark):
@@ -351,7 +423,7 @@ def test_common_passages_keep_their_seeds(spark):
     rng = random.Random(8)
     item = text(rng, 3)
     rows = [(i, text(rng, 2) + " " + (item if i % 3 else "") + " " + text(rng, 2)) for i in range(150)]
-    got = decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"), rare=0.0)
+    got = decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert {r["doc_id"] for r in got.collect()} == {i for i in range(150) if i % 3}
 
 
