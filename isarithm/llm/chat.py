@@ -1,17 +1,18 @@
 """Chat formatting from a declarative template, in DataFrame expressions only.
 
-A template names the control strings around a turn, the roles and whether their text is trained on,
-and a finite-state machine over roles. Formatting a conversation yields its text segments in order,
-each with a loss flag, the state in which the machine ends, and the joined text. Control strings all
-begin with the same two characters; a backslash between these, and doubled backslashes, make sure
-that no text or role holds a control string, and undo without loss, so the output can be read back.
+A template names the control strings around a turn and a finite-state machine over roles. The machine
+reads a conversation's roles in turn order; every move leads to a state and says whether the turn's text
+is under the loss. What it emits, turn by turn, becomes the text segments with their loss flags; a role
+it has no move for leads to the error state, which it does not leave, and there the template says whether
+texts are still under the loss. Control strings all begin with the same two characters; a backslash
+between these, and doubled backslashes, make sure that no text or role holds a control string, and undo
+without loss, so the output can be read back.
 
 Turns are ordered by turn number, then role, then text; null numbers come first. Defined cases: a null
-text is empty, a null role is the empty role; roles that the template does not name are formatted
-without loss and lead the machine to its error state, as does any move it does not know; repeated rows
-are turns of their own; null conversation ids form one conversation; an empty table gives no
-conversations. Other columns are not read. A conversation is one output row, so its turns meet in one
-task; conversations never do.
+text is empty, a null role is the empty role; repeated rows are turns of their own; each row without a
+conversation id is a conversation of one turn; an empty table gives no conversations. Other columns are
+not read. A conversation is one output row, so its turns meet in one task, which holds them; very long
+texts count there with their length. Conversations never meet.
 """
 
 from __future__ import annotations
@@ -26,18 +27,19 @@ class Template(NamedTuple):
     opens: str
     body: str
     closes: str
-    roles: dict[str, bool]  # role: whether its text is under the loss
+    trained: tuple[str, ...]  # roles whose texts are under the loss
     moves: dict[tuple[str, str], str]  # (state, role): next state
     start: str
     accepts: tuple[str, ...]
     error: str = "error"
+    error_trains: bool = True  # whether trained roles keep their loss once the machine is in its error state
 
 
 TURNS = Template(
     opens="<|turn|>",
     body="<|body|>",
     closes="<|end|>\n",
-    roles={"system": False, "user": False, "assistant": True},
+    trained=("assistant",),
     moves={
         ("start", "system"): "instructed",
         ("start", "user"): "asked",
@@ -48,6 +50,10 @@ TURNS = Template(
     start="start",
     accepts=("answered",),
 )
+#: The same turns, but what follows a wrong turn, and the wrong turn itself, is not learned from.
+STRICT = TURNS._replace(error_trains=False)
+#: Turns that the machine reads at a time: what it emitted before them is not copied for each turn.
+STRETCH = 64
 
 
 def _check(template: Template) -> None:
@@ -68,10 +74,18 @@ def _quoted(mark: str) -> str:
     return "".join("\\" + c if c in "<|>[](){}.*+?^$\\" else c for c in mark)
 
 
-def final_state(roles: Column, template: Template = TURNS) -> Column:
-    """The machine's state after an array of roles."""
-    moves = F.create_map(*[x for (state, role), to in template.moves.items() for x in (F.lit(f"{state}\n{role}"), F.lit(to))])
-    return F.aggregate(roles, F.lit(template.start), lambda state, role: F.coalesce(F.try_element_at(moves, F.concat_ws("\n", state, role)), F.lit(template.error)))
+def machine(roles: Column, template: Template = TURNS) -> Column:
+    """What the machine emits for an array of roles: a struct of state and loss for each of them."""
+    wrong = lambda role: F.struct(F.lit(template.error).alias("state"), (role.isin(*template.trained) if template.error_trains else F.lit(False)).alias("loss"))
+    moves = F.create_map(
+        *[x for (state, role), to in template.moves.items() for x in (F.lit(f"{state}\n{role}"), F.struct(F.lit(to).alias("state"), F.lit(role in template.trained).alias("loss")))]
+    )
+    begin = F.array(F.struct(F.lit(template.start).alias("state"), F.lit(False).alias("loss")))
+    move = lambda done, role: F.array_append(done, F.coalesce(F.try_element_at(moves, F.concat_ws("\n", F.element_at(done, -1)["state"], role)), wrong(role)))
+    # Each stretch begins with the last emission of the one before it.
+    stretch = lambda done, k: F.array_append(done, F.aggregate(F.slice(roles, k * STRETCH + 1, F.lit(STRETCH)), F.slice(F.element_at(done, -1), -1, 1), move))
+    stretches = F.aggregate(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(roles) - 1) / STRETCH).cast("int"))), F.array(begin), stretch)
+    return F.flatten(F.transform(stretches, lambda s, i: F.when(i == 0, F.slice(s, 2, 0)).otherwise(F.slice(s, F.lit(2), F.greatest(F.lit(0), F.size(s) - 1)))))
 
 
 def format_conversations(
@@ -80,16 +94,17 @@ def format_conversations(
     """(id, segments, formatted, state, valid): a row per conversation; segments are structs of text and loss."""
     _check(template)
     text = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-    rows = turns.select(F.col(f"`{conv_col}`").alias("_id"), F.struct(F.col(f"`{turn_col}`").alias("turn"), text(role_col).alias("role"), text(text_col).alias("text")).alias("t"))
-    grouped = rows.groupBy("_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    trained = [role for role, loss in template.roles.items() if loss]
+    alone = F.when(F.col(f"`{conv_col}`").isNull(), F.monotonically_increasing_id())
+    rows = turns.select(F.col(f"`{conv_col}`").alias("_id"), alone.alias("_alone"), F.struct(F.col(f"`{turn_col}`").alias("turn"), text(role_col).alias("role"), text(text_col).alias("text")).alias("t"))
+    grouped = rows.groupBy("_id", "_alone").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    read = grouped.select("_id", "turns", machine(F.transform("turns", lambda t: t["role"]), template).alias("out"))
     piece = lambda value, loss: F.struct(value.alias("text"), loss.alias("loss"))
-    of_turn = lambda t: F.array(
+    emit = lambda t, out: F.array(
         piece(F.concat(F.lit(template.opens), escape(t["role"]), F.lit(template.body)), F.lit(False)),
-        piece(escape(t["text"]), t["role"].isin(*trained)),
+        piece(escape(t["text"]), out["loss"]),
         piece(F.lit(template.closes), F.lit(False)),
     )
-    done = grouped.select("_id", F.flatten(F.transform("turns", of_turn)).alias("segments"), final_state(F.transform("turns", lambda t: t["role"]), template).alias("state"))
+    done = read.select("_id", F.flatten(F.zip_with("turns", "out", emit)).alias("segments"), F.element_at("out", -1)["state"].alias("state"))
     return done.select(
         F.col("_id").alias(conv_col), "segments", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "state", F.col("state").isin(*template.accepts).alias("valid")
     )

@@ -1,12 +1,14 @@
-"""Quality rules as a bitmask ledger, in DataFrame expressions only.
+"""Quality rules as a stored bitmask ledger, in DataFrame expressions only.
 
 Every rule is evaluated once per document. Its verdict is one bit of `fail_bits`, its measurement a
-column; policies are masks over those bits, so a new policy or an ablation reads the ledger and
-never the texts.
+column, and both are written: the ledger is a Parquet table. Policies are masks over its bits, so a
+verdict, a new policy or an ablation reads the ledger and never the texts.
 
 Defined cases: a null text has no words and no lines, like an empty one; a null anywhere else is
-carried through; repeated rows each get their own row; an empty table gives an empty ledger. Input
-columns other than the id and the text are not read, so their names cannot clash.
+carried through; repeated rows and rows that share an id each get their own row; ties do not occur, as a
+rule looks at one document alone; very long texts are measured whole, by a task that holds one text and
+its words at a time; an empty table gives an empty ledger. Input columns other than the id and the text
+are not read, or carried as they are, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isarithm.llm.storage import fresh_dir
+
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD_CHAR = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -113,17 +117,15 @@ def _measure(rows: DataFrame, key: str) -> DataFrame:
     return wide.withColumn("n_repeat_words", F.coalesce(repeats, F.lit(0)).cast("long")).select(key, *MEASURES)
 
 
-def ledger(measured: DataFrame) -> DataFrame:
-    """The measured rows with fail_bits: bit i is set where RULES[i] fails.
-
-    The row number that is multiplied away makes the column one that the optimizer does not compute
-    again below a filter on it; without it a filter on a verdict repeats every measurement.
-    """
+def ledger(measured: DataFrame, folder: str | None = None) -> DataFrame:
+    """Writes the measured rows with fail_bits, now, and reads them back: bit i is set where RULES[i] fails."""
     bits = [F.when(F.expr(rule.fails), F.lit(1 << i)).otherwise(0) for i, rule in enumerate(RULES)]
     total = bits[0]
     for bit in bits[1:]:
         total = total.bitwiseOR(bit)
-    return measured.withColumn("fail_bits", (total + F.monotonically_increasing_id() * 0).cast("int"))
+    folder = folder or fresh_dir(measured.sparkSession, "ledger")
+    measured.withColumn("fail_bits", total.cast("int")).write.parquet(folder)
+    return measured.sparkSession.read.parquet(folder)
 
 
 def apply_policy(rows: DataFrame, policy: str = "v2", column: str = "kept") -> DataFrame:
@@ -150,14 +152,21 @@ def ablations(rows: DataFrame, policy: str = "v2") -> DataFrame:
     )
 
 
-def quality_rules(docs: DataFrame, policy: str = "v2", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Measurements, fail_bits, base_failed and kept of every document."""
-    rows = apply_policy(apply_policy(ledger(measure(docs, id_col, text_col)), "base", "_base"), policy)
-    return rows.withColumn("base_failed", ~F.col("_base")).withColumn("kept", F.col("_base") & F.col("kept")).drop("_base")
+def judge(rows: DataFrame, policy: str = "v2") -> DataFrame:
+    """Adds base_failed and kept to the rows of a ledger; what fails the base rules is not kept under any policy."""
+    both = apply_policy(apply_policy(rows, "base", "base_failed"), policy)
+    return both.withColumns({"kept": F.col("base_failed") & F.col("kept"), "base_failed": ~F.col("base_failed")})
+
 
+def quality_rules(docs: DataFrame, policy: str = "v2", id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
+    """Measurements, fail_bits, base_failed and kept of every document, from a ledger that is written for it."""
+    return judge(ledger(measure(docs, id_col, text_col), folder), policy)
 
-def keep_good(docs: DataFrame, policy: str = "v2", text_col: str = "text") -> DataFrame:
-    """The rows of documents that pass the base rules and the policy, with all their columns; no join is needed."""
+
+def keep_good(docs: DataFrame, policy: str = "v2", text_col: str = "text", folder: str | None = None) -> DataFrame:
+    """The rows of documents that pass the base rules and the policy, with all their columns.
+
+    The ledger that is written for it carries the rows beside their bits, so no join is needed.
+    """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
-    judged = apply_policy(apply_policy(ledger(_measure(rows, "_row")), policy), "base", "_base")
-    return judged.where("_base AND kept").select("_row.*")
+    return judge(ledger(_measure(rows, "_row"), folder), policy).where("kept").select("_row.*")

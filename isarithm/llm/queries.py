@@ -86,6 +86,23 @@ FROM b
 """
 
 
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each rule of the v2 policy: documents that fail it, that fail it alone, and that pass without it."""
+    rows = quality_rules.ledger(quality_rules.measure(_table(spark, sf_dir, "documents")))
+    return quality_rules.ablations(rows, "v2")
+
+
+ABLATION_SQL = (
+    OP4_SQL[: OP4_SQL.rindex("SELECT doc_id, n_words")]
+    + """, r(rule, bit) AS (VALUES ('few_words', 1), ('repeated_trigrams', 2), ('many_symbols', 4), ('duplicate_lines', 8), ('word_length', 16),
+  ('upper_case', 32), ('exclamations', 64), ('many_digits', 128), ('ellipsis_lines', 256), ('bullet_lines', 512))
+SELECT rule, bit, count(*) FILTER (WHERE (fail_bits & bit) <> 0) AS n_fail, count(*) FILTER (WHERE fail_bits = bit) AS n_only,
+       count(*) FILTER (WHERE fail_bits = 0 OR fail_bits = bit) AS n_kept_without
+FROM b, r GROUP BY rule, bit
+"""
+)
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, and of one more that holds control strings, read back from their formatted text."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -160,8 +177,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontamination": op1_decontamination, "op2_quality_classifier": op2_quality_classifier, "op3_warc": op3_warc, "op4_quality_rules": op4_quality_rules, "op5_chat": op5_chat, "op6_bpe": op6_bpe, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op9_consistent_hash": op9_consistent_hash, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_decontamination": op1_decontamination, "op2_quality_classifier": op2_quality_classifier, "op3_warc": op3_warc, "op4_quality_rules": op4_quality_rules, "op5_chat": op5_chat, "op6_bpe": op6_bpe, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op9_consistent_hash": op9_consistent_hash, "op10_substring_dedup": op10_substring_dedup, "quality_rule_ablations": quality_rule_ablations}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op4_quality_rules": OP4_SQL, "op5_chat": OP5_SQL}
+    return {"op3_warc": OP3_SQL, "op4_quality_rules": OP4_SQL, "op5_chat": OP5_SQL, "quality_rule_ablations": ABLATION_SQL}

@@ -111,23 +111,36 @@ def plain_pipeline(rows, items):
 
     assert len(quality_rules.RULES) == 10
     rows = [r for r in rows if good(r[1])]
-    classes = {i: c for i, _, c, _ in plain_classes(rows)}
-    rows = [r for r in rows if r[0] is None or classes[r[0]] == r[0]]
-    rows = [(i, t) for i, t, n, gone in plain_removal(rows) if gone == 0 or gone < n]
-    hit = {i for i, _ in plain_leaks(rows, items)} if items else set()
-    return [(i, t) for i, t in rows if i not in hit]
+    first, kept = set(), []
+    for (i, t), (_, own, low, _) in sorted(zip(rows, plain_classes(rows), strict=True), key=lambda x: (x[0][0] is None, x[0][0] or 0)):
+        if i == own == low and (low, t) not in first:
+            first.add((low, t))
+            kept.append((i, t))
+    rows = [(i, t) for i, t, n, gone in plain_removal(kept) if gone == 0 or gone < n]
+    hit = {t for t in {t for _, t in rows} if items and plain_leaks([(0, t)], items)}
+    return [(i, t) for i, t in rows if t not in hit]
 
 
 def test_pipeline_on_edges(spark, edges, tmp_path):
     import corpus_pipeline
 
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality_rules" and len(corpus_pipeline.STAGES) == 5
-    extra = edges.withColumns({c: F.lit(1) for c in ("id", "h", "k", "row", "_row", "n_removed", "ids")})
+    rng = random.Random(77)
+    lone = " ".join(f"{rng.choice(['river', 'stone', 'garden', 'window'])}{k} runs here." for k in range(40))
+    more = spark.createDataFrame([(None, lone, "en", "b", 1), (None, lone, "en", "c", 2), (None, edge_rows()[10][1], "en", "b", 1)], edges.schema)
+    edges = edges.unionByName(more)
+    extra = edges.withColumns({c: F.lit(1) for c in ("id", "h", "k", "row", "_row", "n_removed", "n_sentences", "ids")})
     item = " ".join(edge_rows()[10][1].split()[3:30])
     extra.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()), key=repr)
-    assert got == sorted(plain_pipeline([r[:2] for r in edge_rows()], [(1, item)]), key=repr)
+    want = plain_pipeline([tuple(r) for r in edges.select("doc_id", "text").collect()], [(1, item)])
+    assert got == sorted(want, key=repr) and (None, lone) in want
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert set(extra.columns) <= set(out.columns) and out.where("n_removed <> 1 OR n_sentences <> 1").count() == 0
+    few = extra.drop("n_chars", "n_removed")  # the stages need no column but the id and the text
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, few, str(tmp_path)).columns == few.columns
     empty = spark.read.parquet(str(tmp_path / "documents.parquet")).limit(0)
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, str(tmp_path))
@@ -151,9 +164,14 @@ def test_pipeline_on_documents(spark, docs, sf):
 
 
 def test_the_rest_stands_alone(tmp_path):
+    """With both folders gone, and the pipeline's file left, the entry and the rest's tests work."""
     import shutil
 
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    shutil.copytree(root, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    shutil.copytree(root, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "llm", "__pycache__"))
+    assert (tmp_path / "r" / "corpus_pipeline.py").exists()
+    alone = os.environ | {"PYTHONPATH": str(tmp_path / "r")}
     code = "import __spark_entry__ as e; q = e.queries(); assert 'surface_cell_max' in q and not any(n.startswith('op') and n[2].isdigit() or n == 'pipeline' for n in q); assert set(e.oracle_sql()) <= set(q)"
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", check=True)
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", env=alone, check=True)
+    subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "-x", "--collect-only"], cwd=tmp_path / "r", env=alone, check=True)
+    subprocess.run([sys.executable, "-m", "pytest", "tests/test_geometry.py", "-q", "-x"], cwd=tmp_path / "r", env=alone, check=True)

@@ -59,6 +59,22 @@ def test_ablations_follow_from_the_bits(spark, docs):
             assert got[name] == (sum(x & b > 0 for x in bits), sum(x & whole == b for x in bits), sum(x & (whole - b) == 0 for x in bits))
 
 
+def test_the_ledger_is_stored_and_serves_all_policies(spark, docs, tmp_path, monkeypatch):
+    folder = str(tmp_path / "ledger")
+    first = quality_rules.quality_rules(docs, "v2", folder=folder)
+    stored = spark.read.parquet(folder)
+    assert set(quality_rules.MEASURES) < set(stored.columns) and "text" not in stored.columns and stored.count() == docs.count()
+    monkeypatch.setattr(quality_rules, "_measure", None)  # later policies measure nothing
+    for policy in quality_rules.POLICIES:
+        kept = {r["doc_id"] for r in quality_rules.judge(stored, policy).where("kept").collect()}
+        assert kept == {r["doc_id"] for r in stored.collect() if not r["fail_bits"] & quality_rules.mask(quality_rules.POLICIES[policy])}
+    assert key(first) == key(quality_rules.judge(stored, "v2"))
+
+
+def key(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
 def test_bpe_equals_the_library(spark, docs, clashing):
     from tokenizers import Tokenizer
 
@@ -185,7 +201,7 @@ TURNS = [
 def test_chat_reads_back(spark):
     df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string").withColumn("_id", F.lit(1))
     out = chat.format_conversations(df).withColumns({"turns": chat.read_turns(F.col("formatted")), "loss": chat.loss_text(F.col("segments"))}).collect()
-    groups = collections.defaultdict(list)
+    groups = collections.defaultdict(list)  # the one row without a conversation's id is one by itself
     for c, n, r, t in TURNS:
         groups[c].append((-1 if n is None else n, r or "", t or ""))
     assert {r["conv_id"] for r in out} == set(groups)
@@ -202,6 +218,35 @@ def test_chat_reads_back(spark):
         chat.format_conversations(df, chat.TURNS._replace(opens="[turn]"))
 
 
+def plain_machine(roles, template):
+    state, out = template.start, []
+    for role in roles:
+        to = template.moves.get((state, role))
+        state = to or template.error
+        out.append((state, role in template.trained and (to is not None or template.error_trains)))
+    return out
+
+
+def test_the_machine_emits_states_and_losses(spark):
+    rng = random.Random(17)
+    legal = ["system"] + ["user", "assistant"] * 100
+    cases = [[], ["assistant"], ["user"], legal, legal[1:131], legal[:60] + ["user"] + legal[60:], [None, "user"], ["user", "tool", "assistant"]]
+    cases += [[rng.choice(["user", "assistant", "system"]) for _ in range(rng.randrange(1, 9))] for _ in range(40)] + [["user", "assistant"] * k for k in (31, 32, 33, 64)]
+    df = spark.createDataFrame([(i, [x or "" for x in c]) for i, c in enumerate(cases)], "i long, roles array<string>")
+    for template in (chat.TURNS, chat.STRICT):
+        for r in df.select("i", chat.machine(F.col("roles"), template).alias("out")).collect():
+            assert [tuple(x) for x in r["out"]] == plain_machine([x or "" for x in cases[r["i"]]], template)
+
+
+def test_a_strict_template_does_not_learn_past_an_error(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "assistant", "c"), (1, 3, "user", "d"), (1, 4, "assistant", "e"), (None, 0, "user", "x"), (None, 1, "assistant", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for template, want in ((chat.TURNS, "bce"), (chat.STRICT, "b")):
+        out = chat.format_conversations(df, template).withColumn("l", chat.loss_text(F.col("segments"))).collect()
+        assert [r["l"] for r in out if r["conv_id"] == 1] == [want]
+        assert sorted(r["state"] for r in out if r["conv_id"] is None) == ["asked", "error"]
+
+
 def test_chat_query_holds_the_hard_conversation(spark, sf):
     from isarithm.llm.queries import op5_chat
 
