@@ -1,7 +1,14 @@
 """Documents to tokens: quality rules, near copies, repeated passages, benchmark leaks, BPE.
 
-Each stage reads what its predecessor kept. The first four return the columns of documents; the last
-one adds n_tokens and ids and returns the text that the ids decode to.
+Each stage reads what its predecessor kept. The first four return the columns of documents, whatever
+further ones they have; the last one adds n_tokens and ids and returns the text that the ids decode to.
+
+Defined cases, by stage. A null text has no words, so the first stage drops it; called alone, the others
+keep rows of null texts. Rows without an id go through all stages like others and come last wherever the
+order of ids decides; nulls in other columns are carried. Empty texts go in the first stage; very long
+ones are read whole by all. Of near copies, of rows that share an id and of repeated rows the stage says
+which stays, and the choice depends on nothing but the rows. Empty tables give empty tables. Columns
+of any name are carried, but the last stage replaces columns named n_tokens and ids.
 """
 
 from __future__ import annotations
@@ -18,33 +25,41 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or the v2 policy go."""
+    """Documents that fail the base rules or the v2 policy go; each row is judged by its text alone."""
     return quality_rules.keep_good(docs, "v2")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of linked documents the one with the smallest id stays, once; rows without an id stay."""
-    classes = jaccard.jaccard_classes(docs.select("doc_id", "text"))
-    stay = classes.where("doc_id = class_id").select(F.col("doc_id").alias("k")).distinct()
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    kept = docs.select(F.col("doc_id").alias("k"), F.xxhash64("text").alias("h"), row).join(stay, "k", "left_semi").dropDuplicates(["k", "h"]).select("row.*")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    """Of each class of linked documents one row stays: that of the smallest id, rows without one last.
+
+    Rows that agree in id and text are told apart by a hash of all their columns. Rows of one id with
+    texts of different classes are different documents.
+    """
+    return jaccard.keep_first(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated passages are cut; a document that had nothing else goes."""
-    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_sentences", "n_removed")])
-    cleaned = substring.drop_repeats(own).where("n_removed = 0 OR n_removed < n_sentences")
-    return cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*own.columns)
+    """Later occurrences of repeated passages are cut; a document that had nothing else goes.
+
+    The first occurrence, by id (rows without one last), then text, then place, stays. Where there is a
+    column n_chars, it is set to the new length of a text that was cut.
+    """
+    carried = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_stage"))
+    cleaned = substring.drop_repeats(carried).where("n_removed = 0 OR n_removed < n_sentences")
+    fresh = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        fresh["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("_stage.n_chars"))
+    return cleaned.select(*[fresh.get(c, F.col(f"_stage.`{c}`")).alias(c) for c in docs.columns])
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a test item go."""
+    """Rows whose text holds a test item go, with or without an id."""
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each text, and the text decoded from them."""
+    """Ids of each text, and the text decoded from them; the ids of a null text are none, and its text is then empty."""
     coded = bpe.encode(docs, tokenizer_path(), keep_text=False)
     back = bpe.decode(coded, tokenizer_path(), out_col="text")
     return back.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_tokens", "ids")], "n_tokens", "ids")
