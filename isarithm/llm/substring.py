@@ -221,7 +221,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     twice = rows.select("text").mapInArrow(_hashes, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(twice, bits))
     found = cut(rows.mapInArrow(_repeated(shared, bits), "h long, g long, id long, th long, at long"))
-    first = found.groupBy("h", "g").agg(F.min(F.struct("id", "th", "at")).alias("first"), F.max(F.struct("id", "th", "at")).alias("last")).where("first < last").select("h", "g", "first")
+    first = found.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "at")).alias("first")).where("n > 1").select("h", "g", "first")
     later = found.join(first, ["h", "g"]).where(F.struct("id", "th", "at") != F.col("first"))
     return later.groupBy("id", "th").agg(F.collect_set("at").alias("spans"))
 
