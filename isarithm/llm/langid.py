@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -209,7 +209,7 @@ def fit(spans: list[tuple[str, str]], seed: int = 11) -> Crf:
     w = W.split(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]), blank=_OTHER)
     values, counts = np.unique(W.word_hashes(w), return_counts=True)
     model.lexicon = values[counts >= LEXICON_AT]
-    usable = np.flatnonzero(np.diff(w.first) >= 4)
+    usable = np.flatnonzero(np.diff(w.first) > 0)
     by_lang = [usable[label[usable] == k] for k in range(len(model.languages))]
     by_lang = [x for x in by_lang if len(x)]
     memory = [np.full_like(x, 1e-3) for x in (model.table, model.start, model.move)]
@@ -222,7 +222,9 @@ def fit(spans: list[tuple[str, str]], seed: int = 11) -> Crf:
             for _ in range(rng.integers(1, 4)):
                 pool = by_lang[rng.integers(len(by_lang))]
                 span = pool[rng.integers(len(pool))]
-                lo, hi = w.first[span] + 1, w.first[span + 1] - 1  # the span's ends may cut words
+                lo, hi = w.first[span], w.first[span + 1]
+                if hi - lo >= 4:
+                    lo, hi = lo + 1, hi - 1  # the span's ends may cut words
                 a = rng.integers(lo, hi)
                 b = min(hi, a + int(rng.integers(3, 25)))
                 words.append(np.arange(a, b))
@@ -262,15 +264,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     drawn = F.pmod(F.xxhash64("id", F.lit("langid")), F.lit(1_000_000))
     chance = F.create_map(*[x for lang, n in sorted(sizes.items()) for x in (F.lit(lang), F.lit(min(1_000_000, 2_000_000 * sample // n + 1)))])
     begin = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.greatest(F.lit(1), F.length("text") - SPAN)).cast("int") + 1
-    spans = rows.where(drawn < F.element_at(chance, F.col("lang"))).select("lang", drawn.alias("rank"), "id", *[F.col("text").substr(begin(k), F.lit(SPAN)).alias(f"s{k}") for k in range(SPANS)])
-    found = sorted(spans.limit(4 * sample * len(sizes)).collect(), key=lambda r: (r["lang"], r["rank"], r["id"], r["s0"]))
-    taken: list[tuple[str, str]] = []
-    used: dict[str, int] = {}
-    for row in found:
-        used[row["lang"]] = used.get(row["lang"], 0) + 1
-        if used[row["lang"]] <= sample:
-            taken += [(row["lang"], text) for text in dict.fromkeys(row[f"s{k}"] for k in range(SPANS))]
-    return fit(taken)
+    spans = rows.where(drawn < F.element_at(chance, F.col("lang"))).select("lang", F.xxhash64("id", F.lit("langid")).alias("rank"), "id", *[F.col("text").substr(begin(k), F.lit(SPAN)).alias(f"s{k}") for k in range(SPANS)])
+    # The first `sample` rows of each language by hash; each task keeps no more than that of its own.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "id", "s0"))
+    found = spans.withColumn("place", place).where(F.col("place") <= sample).orderBy("lang", "place").collect()
+    return fit([(row["lang"], text) for row in found for text in dict.fromkeys(row[f"s{k}"] for k in range(SPANS))])
 
 
 def predict(docs: DataFrame, model: Crf | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -7,7 +7,7 @@ probability. Long documents only have more chunks. Training is Adam on the log l
 a maximum goes to the chunk that holds it.
 
 Training draws the SAMPLE_PER_CLASS labelled ids of each class with the smallest hash and takes their
-documents whole, however long, so the driver holds those texts; the class sizes of all labelled rows set the prior. Scores read the text only.
+documents whole, however long (at most 2 * SAMPLE_PER_CLASS rows a class, should ids repeat), so the driver holds those texts; the class sizes of all labelled rows set the prior. Scores read the text only.
 
 Defined cases: a null or empty text is scored as one empty chunk; null and unknown labels are not
 learned from; several labels of one id are all learned from; if only one class has labels, every
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,6 +99,36 @@ def spaced(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return out, at[:-1] + shift, size
 
 
+def gradient(net: Net, raw: list[bytes], labels: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradient of the mean log loss and the decay of these documents; that of a maximum goes to the first chunk that holds it."""
+    data, at, size = spaced(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    top, mean, n, bounds = net.pooled(data, at, size)
+    p = 1 / (1 + np.exp(-(top @ net.v + net.c[0])))
+    d = ((p - labels) / len(raw)).astype(np.float32)
+    grad = {"v": top.T @ d + DECAY * net.v, "c": np.array([d.sum()], np.float32), "w": DECAY * net.w, "b": np.zeros(FILTERS, np.float32)}
+    back = d[:, None] * net.v
+    gw = np.zeros((WIDTH, 256, FILTERS), np.float64)
+    padded = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
+    for f in range(FILTERS):
+        # The chunk that holds each document's maximum, and the bytes where the filter is active there.
+        best = np.array([lo + int(mean[lo:hi, f].argmax()) for lo, hi in zip(bounds, bounds[1:], strict=False)])
+        some = n[best] > 0
+        doc, best = np.flatnonzero(some), best[some]
+        begin = at[doc] + (best - bounds[:-1][doc]) * HALF
+        long = n[best]
+        idx = np.repeat(begin - (np.cumsum(long) - long), long) + np.arange(long.sum())
+        per = np.repeat(back[doc, f] / long, long)
+        z = net.b[f] + sum(net.w[j, padded[idx + j], f] for j in range(WIDTH))
+        live = z > 0
+        idx, per = idx[live], per[live]
+        for j in range(WIDTH):
+            gw[j, :, f] += np.bincount(padded[idx + j], weights=per, minlength=256)
+        grad["b"][f] = per.sum()
+    gw[:, 0, :] = 0
+    grad["w"] = grad["w"] + gw.astype(np.float32)
+    return grad
+
+
 def fit(texts: list[bytes], labels: np.ndarray, prior: float, seed: int = 7) -> Net:
     """A net trained on the texts; its offset is moved from the sample's class balance to the prior."""
     net = Net(seed)
@@ -112,32 +142,7 @@ def fit(texts: list[bytes], labels: np.ndarray, prior: float, seed: int = 7) ->
         order = rng.permutation(len(texts))
         for lo in range(0, len(order), BATCH):
             k = order[lo : lo + BATCH]
-            raw = [texts[i] for i in k]
-            data, at, size = spaced(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
-            top, mean, n, bounds = net.pooled(data, at, size)
-            p = 1 / (1 + np.exp(-(top @ net.v + net.c[0])))
-            d = ((p - labels[k]) / len(k)).astype(np.float32)
-            grad = {"v": top.T @ d + DECAY * net.v, "c": np.array([d.sum()], np.float32), "w": DECAY * net.w, "b": np.zeros(FILTERS, np.float32)}
-            back = d[:, None] * net.v
-            gw = np.zeros((WIDTH, 256, FILTERS), np.float64)
-            for f in range(FILTERS):
-                # The chunk that holds each document's maximum, and the bytes where the filter is active there.
-                best = np.array([lo_ + int(mean[lo_:hi_, f].argmax()) for lo_, hi_ in zip(bounds, bounds[1:], strict=False)])
-                some = n[best] > 0
-                doc, best = np.flatnonzero(some), best[some]
-                begin = at[doc] + (best - bounds[:-1][doc]) * HALF
-                long = n[best]
-                idx = np.repeat(begin - (np.cumsum(long) - long), long) + np.arange(long.sum())
-                per = np.repeat(back[doc, f] / long, long)
-                padded = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
-                z = net.b[f] + sum(net.w[j, padded[idx + j], f] for j in range(WIDTH))
-                live = z > 0
-                idx, per = idx[live], per[live]
-                for j in range(WIDTH):
-                    gw[j, :, f] += np.bincount(padded[idx + j], weights=per, minlength=256)
-                grad["b"][f] = per.sum()
-            gw[:, 0, :] = 0
-            grad["w"] = grad["w"] + gw.astype(np.float32)
+            grad = gradient(net, [texts[i] for i in k], labels[k])
             step += 1
             for key, g in grad.items():
                 m, s = state[key]
@@ -164,7 +169,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     # Ids are drawn from the labels alone: at most 2 * SAMPLE_PER_CLASS of them, so their texts take no shuffle.
     drawn = [marks.where(F.col("y") == label).distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_CLASS) for label in (0, 1)]
     sample = rows.join(F.broadcast(drawn[0].union(drawn[1])), "id").select("id", "text", "y")
-    found = sorted(sample.collect(), key=lambda r: (r["id"], r["text"], r["y"]))
+    # An id can have many rows, so the rows drawn are bounded too; each task keeps no more of its own.
+    place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("text"), "id"))
+    bounded = sample.withColumn("place", place).where(F.col("place") <= 2 * SAMPLE_PER_CLASS).drop("place")
+    found = sorted(bounded.collect(), key=lambda r: (r["id"], r["text"], r["y"]))
     texts, y = [row["text"].encode() for row in found], [row["y"] for row in found]
     if len(set(y)) < 2:
         return sizes[1] / (sizes[0] + sizes[1])

@@ -9,12 +9,17 @@ added or sizes change.
 The unit that moves is a ring cell: all keys of one cell share their way. Cells' loads are summed in
 the cluster, and only that summary, of at most CELLS rows whatever the input, reaches the driver,
 where the ring is walked, heavy cells first. A cell that fits nowhere goes to the shard with the most
-room on its way, so the most that a shard exceeds its bound by is one cell.
+room on its way, so the most that a shard exceeds its bound by is one cell: with n equal keys that is
+about 1/CELLS of all bytes, with one key that has more than a shard's share it is that key. Heavy cells
+go first, so a change of sizes can also move cells of other sizes.
+
+Slots need an order within a cell. A cell with over 1/HOT of all rows, such as that of one hot key, is
+cut in SPLIT parts by size and checksum, each a task's; only equal texts of such a key stay together.
 
 Defined cases: a null text has no bytes and size 1; a null key is a key of its own; equal keys share a
 shard (rows of one key are never parted, so a key with most of the bytes makes a heavy shard); slots
-order a shard's rows by ring place, key, size and text checksum, and repeated rows get slots in any
-order; an empty table gives an empty result; other columns are not read.
+order a shard's rows by ring place, part of a hot cell, key, size and text checksum, and repeated rows get slots in any
+order; very long texts count with their bytes and are not moved; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +35,8 @@ from pyspark.sql import types as T
 CELLS = 1 << 16
 VIRTUAL = 64
 SLACK = 0.001
+HOT = 256
+SPLIT = 64
 
 
 def ring(shards: int, virtual: int = VIRTUAL, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
@@ -81,11 +88,20 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     summary = rows.groupBy("_cell").agg(F.sum("size").alias("load"), F.count("*").alias("n")).toPandas().sort_values("_cell", ignore_index=True)
     summary["shard"] = walk(summary["_cell"].to_numpy(), summary["load"].to_numpy(), shards, slack, virtual, cells)
     summary["offset"] = summary.groupby("shard")["n"].cumsum() - summary["n"]
-    layout = T.StructType().add("_cell", "integer").add("shard", "integer").add("offset", "long")
-    plan = docs.sparkSession.createDataFrame(pd.DataFrame(summary[["_cell", "shard", "offset"]]), layout)
-    # At most CELLS rows, so always broadcast.
-    within = Window.partitionBy("_cell").orderBy(id_col, "size", "text_crc32")
-    placed = rows.withColumn("_rank", F.row_number().over(within)).join(F.broadcast(plan), "_cell")
+    hot = summary[summary["n"] > summary["n"].sum() / HOT]
+    part = F.pmod(F.xxhash64("text_crc32", "size"), F.lit(SPLIT)).cast("int")
+    cut = rows.withColumn("_part", F.when(F.col("_cell").isin(hot["_cell"].tolist()), part).otherwise(0) if len(hot) else F.lit(0))
+    plan = summary[["_cell", "shard", "offset"]].assign(_part=0)
+    if len(hot):
+        parts = cut.where(F.col("_cell").isin(hot["_cell"].tolist())).groupBy("_cell", "_part").agg(F.count("*").alias("m")).toPandas().sort_values(["_cell", "_part"])
+        parts = parts.merge(plan[["_cell", "shard", "offset"]], on="_cell")
+        parts["offset"] += parts.groupby("_cell")["m"].cumsum() - parts["m"]
+        plan = pd.concat([plan[~plan["_cell"].isin(hot["_cell"])], parts[["_cell", "shard", "offset", "_part"]]])
+    layout = T.StructType().add("_cell", "integer").add("_part", "integer").add("shard", "integer").add("offset", "long")
+    plan = docs.sparkSession.createDataFrame(pd.DataFrame(plan[["_cell", "_part", "shard", "offset"]]), layout)
+    # At most CELLS + HOT * SPLIT rows, so always broadcast.
+    within = Window.partitionBy("_cell", "_part").orderBy(id_col, "size", "text_crc32")
+    placed = cut.withColumn("_rank", F.row_number().over(within)).join(F.broadcast(plan), ["_cell", "_part"])
     return placed.select(id_col, "size", "text_crc32", "shard", (F.col("offset") + F.col("_rank") - 1).alias("slot"))
 
 

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one only where that is unset, as in tests."""
+    """The folder named by spark.checkpoint.dir; a local one only where that is unset and all tasks run on this machine, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
-        current = spark.sparkContext.getCheckpointDir()
-        named = current or tempfile.mkdtemp(prefix="isarithm-")
+        named = spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="isarithm-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named

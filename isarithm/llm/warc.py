@@ -2,7 +2,7 @@
 
 An archive is a skippable frame (magic 0x184D2A5D) that holds the dictionary, then one Zstandard frame
 per record, so any record can be read alone. The dictionary is trained on at most SAMPLE_BYTES of the
-archive's own first records; an archive too small to train on has no leading frame. A payload that
+archive's own first records; where these are too few to train on, their bytes are the dictionary. A payload that
 several records share is stored once, in the response with the largest id; the others are revisit
 records that refer to it and carry its digest and length.
 
@@ -14,7 +14,8 @@ Defined cases: a null payload is empty; payloads under `least` bytes are never r
 of one id are all responses if theirs is the largest id of the payload; a null id writes a record
 without one, which is read back as null and is never referred to; a null URL becomes one made of the
 id, and control characters in a URL are percent-encoded; an empty table writes no archive. Columns
-other than id, URL and payload are not read. A writer holds one archive, a reader one record.
+other than id, URL and payload are not read. Payloads that cannot be revisited, so all empty ones, meet no
+others. A writer holds one archive and its longest record, a reader one record.
 """
 
 from __future__ import annotations
@@ -104,12 +105,11 @@ def archive(records: list[bytes]) -> bytes:
             break
         sample.append(r[: 128 << 10])
         held += len(sample[-1])
-    dictionary, lead = None, b""
     try:
         dictionary = zstandard.train_dictionary(min(DICTIONARY_BYTES, max(256, held // 8)), sample, k=256, d=8)
-        lead = struct.pack("<II", SKIPPABLE, len(dictionary.as_bytes())) + dictionary.as_bytes()
     except zstandard.ZstdError:  # too little to train on
-        dictionary = None
+        dictionary = zstandard.ZstdCompressionDict(b"".join(sample)[:DICTIONARY_BYTES], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    lead = struct.pack("<II", SKIPPABLE, len(dictionary.as_bytes())) + dictionary.as_bytes()
     packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_checksum=True)
     return lead + b"".join(packer.compress(r) for r in records)
 
@@ -176,10 +176,12 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
     html = F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(html.alias("payload"), F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"))
     # Payloads of at least two records, by digest and length: only digests are shuffled for this.
-    keys = rows.where((F.octet_length("payload") >= least) & F.col("page_id").isNotNull()).select(F.sha1("payload").alias("k"), F.octet_length("payload").alias("n"), "page_id")
+    able = (F.octet_length("payload") >= least) & F.col("page_id").isNotNull()
+    keys = rows.where(able).select(F.sha1("payload").alias("k"), F.octet_length("payload").alias("n"), "page_id")
     heads = keys.groupBy("k", "n").agg(F.count("*").alias("c"), F.max("page_id").alias("head")).where("c > 1").drop("c")
-    marked = rows.withColumns({"k": F.when(F.col("page_id").isNotNull(), F.sha1("payload")), "n": F.octet_length("payload")}).join(heads, ["k", "n"], "left")
-    ready = marked.select("payload", "page_id", "url", F.when(F.col("head") != F.col("page_id"), F.col("head")).alias("refers_to"))
+    marked = rows.where(able).withColumns({"k": F.sha1("payload"), "n": F.octet_length("payload")}).join(heads, ["k", "n"], "left")
+    refers = F.when(F.col("head") != F.col("page_id"), F.col("head")).alias("refers_to")
+    ready = marked.select("payload", "page_id", "url", refers).unionByName(rows.where(~able).select("payload", "page_id", "url", F.lit(None).cast("long").alias("refers_to")))
     return cut(ready.mapInArrow(_writer(folder, date), MANIFEST))
 
 

@@ -52,7 +52,8 @@ def test_dictionary_leads_and_helps():
 
     assert len(whole) < sum(len(zstandard.ZstdCompressor().compress(r)) for r in rows)
     few = warc.archive(rows[:2])
-    assert few[:4] == (0xFD2FB528).to_bytes(4, "little") and list(warc.records_in(io.BytesIO(few))) == rows[:2]
+    assert few[:4] == whole[:4] and list(warc.records_in(io.BytesIO(few))) == rows[:2]  # its records' bytes are the dictionary
+    assert list(warc.records_in(io.BytesIO(warc.archive(rows[:1])), 3)) == rows[:1]
     with pytest.raises(ValueError):
         list(warc.records_in(io.BytesIO(whole[:-5])))
     broken = warc.record(1, "u", b"abc", None, "d").replace(b"abc", b"abd")
@@ -80,6 +81,40 @@ def test_shards_are_even_and_gapless(spark, docs, clashing):
     assert all(len(s) == 1 for s in by.values())
 
 
+def plain_shards(sizes, shards):
+    """The shard of each key, by walking the ring node by node; sizes: key's cell -> bytes."""
+    nodes = sorted((int.from_bytes(hashlib.sha256(f"{s}/{v}".encode()).digest()[:8], "big") % sharding.CELLS, s) for s in range(shards) for v in range(sharding.VIRTUAL))
+    bound, held, out = (1 + sharding.SLACK) * sum(sizes.values()) / shards, [0] * shards, {}
+    for cell in sorted(sizes, key=lambda c: (-sizes[c], c)):
+        at = next((k for k, (p, _) in enumerate(nodes) if p >= cell), 0)
+        way = list(dict.fromkeys(s for _, s in nodes[at:] + nodes[:at]))
+        to = next((s for s in way if held[s] + sizes[cell] <= bound), min(way, key=lambda s: (held[s], way.index(s))))
+        held[to] += sizes[cell]
+        out[cell] = to
+    return out
+
+
+def test_shards_equal_a_plain_walk(spark, docs):
+    cells = docs.select("doc_id", sharding.cell_of(F.col("doc_id")).alias("c"), (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("n")).collect()
+    for shards in (3, 8):
+        sizes = collections.Counter()
+        for r in cells:
+            sizes[r["c"]] += r["n"]
+        want = plain_shards(sizes, shards)
+        assert {r["doc_id"]: r["shard"] for r in sharding.shard(docs, shards).collect()} == {r["doc_id"]: want[r["c"]] for r in cells}
+
+
+def test_a_hot_key_is_cut_in_parts(spark):
+    """Half of the rows share an id, a quarter have none: slots are gapless, and no task orders all of them."""
+    rows = [(7 if i % 2 else None if i % 4 else i, f"text {i % 700}") for i in range(4000)]
+    out = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 4)
+    slots = collections.defaultdict(list)
+    for r in out.collect():
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and sum(map(len, slots.values())) == 4000
+    assert len({r["shard"] for r in out.where("doc_id = 7").collect()}) == 1
+
+
 def test_few_keys_move_when_a_shard_is_added():
     rng = np.random.default_rng(0)
     cell, load = np.arange(20000), rng.integers(1, 5000, 20000)

@@ -174,6 +174,68 @@ def test_quality_of_held_out_documents(spark, sf):
     assert np.mean([r["predicted"] for r in good]) > 0.95 and np.mean([r["predicted"] for r in bad]) < 0.35
 
 
+def plain_score(net, raw):
+    """Every filter at every byte, the means of all chunks, their maxima, one probability; loops alone."""
+    top = []
+    for f in range(quality_model.FILTERS):
+        out = []
+        for i in range(len(raw)):
+            z = net.b[f] + sum(net.w[j, raw[i + j], f] for j in range(quality_model.WIDTH) if i + j < len(raw))
+            out.append(max(0.0, float(z)))
+        half = quality_model.HALF
+        chunks = [out[a : a + 2 * half] for a in range(0, max(1, len(raw)), half)]
+        top.append(max(sum(c) / max(1, len(c)) for c in chunks))
+    return 1 / (1 + np.exp(-(float(np.dot(top, net.v)) + net.c[0])))
+
+
+def test_scores_equal_a_plain_convolution():
+    rng, net = random.Random(2), quality_model.Net()
+    raws = [bytes(rng.randrange(1, 256) for _ in range(n)) for n in (0, 1, 3, 127, 128, 129, 255, 256, 257, 700)]
+    got = net.score(np.frombuffer(b"".join(raws), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raws])]))
+    assert np.allclose(got, [plain_score(net, r) for r in raws], atol=1e-4)
+
+
+def test_the_gradient_is_that_of_the_loss():
+    rng, net = random.Random(5), quality_model.Net(3)
+    for name in "wbvc":
+        setattr(net, name, getattr(net, name).astype(np.float64))
+    raws, labels = [bytes(rng.choice(b"abcdef") for _ in range(n)) for n in (40, 200, 300, 500)], np.array([0.0, 1.0, 1.0, 0.0])
+
+    def loss():
+        p = np.array([plain_score(net, r) for r in raws])
+        rest = quality_model.DECAY / 2 * ((net.w**2).sum() + (net.v**2).sum())
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p)) + rest
+
+    grad = quality_model.gradient(net, raws, labels)
+    places = [("w", (j, ord(c), f)) for j, c, f in ((0, "a", 0), (2, "d", 5), (3, "f", 11))] + [("b", (4,)), ("v", (0,)), ("v", (7,)), ("c", (0,))]
+    for name, at in places:
+        value = getattr(net, name)
+        keep = value[at]
+        value[at] = keep + 1e-4
+        up = loss()
+        value[at] = keep - 1e-4
+        down = loss()
+        value[at] = keep
+        assert abs((up - down) / 2e-4 - grad[name][at]) < 2e-4 + 0.02 * abs(grad[name][at])
+
+
+def test_the_sample_is_bounded_when_ids_repeat(spark, monkeypatch):
+    monkeypatch.setattr(quality_model, "SAMPLE_PER_CLASS", 5)
+    monkeypatch.setattr(quality_model, "STEPS", 5)
+    seen = []
+    monkeypatch.setattr(quality_model, "fit", lambda texts, y, prior, seed: seen.append(len(texts)) or 0.5)
+    rows = [(i % 4, f"text {i}") for i in range(400)]
+    quality_model.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int"))
+    assert seen == [20]
+
+
+def test_languages_of_few_words_are_learned(spark):
+    rows = [(i, "хлеб соль", "ru") if i % 2 else (i, "bread salt", "en") for i in range(60)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = langid.predict(spark.createDataFrame(rows[:2], "doc_id long, text string, lang string"), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {0: "en", 1: "ru"}
+
+
 def test_quality_edges(spark, docs, sf, clashing):
     labels = spark.read.parquet(sf + "/labels.parquet")
     net = quality_model.train(docs, labels)
