@@ -130,12 +130,12 @@ def occluded(rays: DataFrame, triangles: DataFrame, key: str, cell: float, offse
 
     def test(k, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
-            return pd.DataFrame({"_key": [], "_hit": []})
+            return pd.DataFrame({"_key": np.zeros(0, object), "_hit": np.zeros(0, bool)})
         o, c = np.stack(left["o"].to_list()), np.stack(left["c"].to_list())
         tri = np.stack(right["t"].to_list()).reshape(-1, 3, 3) if len(right) else np.zeros((0, 3, 3))
         far = np.linalg.norm(c - o, axis=1)
         hits = ray_hits(o, (c - o) / np.maximum(far, 1e-12)[:, None], tri, far) if len(tri) else np.zeros(len(o))
-        return pd.DataFrame({"_key": left["_key"], "_hit": hits > 0})
+        return pd.DataFrame({"_key": left["_key"].astype(object), "_hit": hits > 0})
 
     kind = rays.schema[key].dataType.simpleString()
     a = rc.select("_key", flat("_o").alias("o"), flat("centre").alias("c"), "cx", "cy").groupBy("cx", "cy")

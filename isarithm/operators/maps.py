@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -203,9 +204,14 @@ def bake(texels: DataFrame, scores: DataFrame, panels: DataFrame, value: str = "
 
 
 def _nearest(empty: DataFrame, covered: DataFrame, size: float = 200.0) -> DataFrame:
-    """(panel, near): the covered panel nearest in space, by rings of cells that double until all have one."""
-    left, found = settle(empty.select("panel", "origin")), None
-    donors = settle(covered.select(F.col("panel").alias("other"), F.col("origin").alias("there")))
+    """(panel, near): the covered panel nearest in space, by rings of cells that double until all have one.
+
+    Panels with a missing or infinite coordinate are near nothing. A round asks only for panels that found
+    none so far, and all have one once cells are as wide as the farthest of them is away.
+    """
+    real = lambda c: reduce(lambda a, b: a & b, [F.coalesce(F.abs(F.col(f"{c}.{k}")) < float("inf"), F.lit(False)) & ~F.isnan(F.col(f"{c}.{k}")) for k in "xyz"])
+    left, found = settle(empty.where(real("origin")).select("panel", "origin")), None
+    donors = settle(covered.where(real("origin")).select(F.col("panel").alias("other"), F.col("origin").alias("there")))
     if donors.isEmpty():
         return empty.select("panel", F.col("panel").alias("near")).limit(0)
     while not left.isEmpty():

@@ -94,13 +94,31 @@ def lattice_triangles(t):
     return mesh.lattice_faces(t("region").sparkSession, 21, 41)
 
 
-@query("gate_corners")
+@query("gate_corners", """
+WITH b(bar, cx, cy, sx, sy) AS (VALUES ('left', -2.625::DOUBLE, 0.0::DOUBLE, 0.25::DOUBLE, 5.5::DOUBLE), ('right', 2.625, 0.0, 0.25, 5.5), ('top', 0.0, 2.625, 5.5, 0.25), ('bottom', 0.0, -2.625, 5.5, 0.25)),
+k AS (
+  SELECT n_nationkey AS ord, n_regionkey AS x, n_nationkey AS z, bar, CAST(corner.range AS INTEGER) AS corner, radians(n_nationkey * 15.0::DOUBLE) AS a,
+         cx + (CASE WHEN corner.range & 1 > 0 THEN 0.5 ELSE -0.5 END) * sx AS side, cy + (CASE WHEN corner.range & 2 > 0 THEN 0.5 ELSE -0.5 END) * sy AS up, (CASE WHEN corner.range & 4 > 0 THEN 0.5 ELSE -0.5 END) * 0.25 AS deep
+  FROM nation, b, range(8) corner)
+SELECT ord, bar, corner, round(x + side * cos(a) + deep * sin(a), 6) AS x, round(6.0::DOUBLE + up, 6) AS y, round(z - side * sin(a) + deep * cos(a), 6) AS z FROM k""")
 def gate_corners(t):
     gates = t("nation").select(F.col("n_nationkey").alias("ord"), F.col("n_regionkey").cast("double").alias("x"), F.lit(6.0).alias("y"), F.col("n_nationkey").cast("double").alias("z"), F.lit(5.0).alias("size"), F.lit(0.25).alias("bar"), (F.col("n_nationkey") * 15.0).alias("yaw_deg"))
     return mesh.gate_bars(gates).select("ord", "bar", "corner", *[F.round(c, 6).alias(c) for c in "xyz"])
 
 
-@query("wall_planes")
+@query("wall_planes", f"""
+WITH {_VERTICES}, {_FACES}, {_CORNERS},
+d AS (SELECT t.*, kx / n AS nx, ky / n AS ny, kz / n AS nz FROM (SELECT *, sqrt(kx * kx + ky * ky + kz * kz) AS n FROM k) k JOIN t USING (mesh, fid) WHERE n > 0),
+h AS (SELECT *, nx / sqrt(nx * nx + ny * ny) AS hx, ny / sqrt(nx * nx + ny * ny) AS hy FROM d WHERE abs(nz) < 0.35::DOUBLE AND sqrt(nx * nx + ny * ny) > 1e-9::DOUBLE),
+g AS (SELECT *, round_even(atan2(hy, hx) / 0.09::DOUBLE, 0) AS dir, round_even((hx * ax + hy * ay) / 0.6::DOUBLE, 0) AS place FROM h),
+m AS (SELECT mesh, dir, place, avg(hx) AS ex, avg(hy) AS ey, min(fid) AS first_fid FROM g GROUP BY ALL),
+e AS (SELECT mesh, dir, place, first_fid, ex / sqrt(ex * ex + ey * ey) AS mx, ey / sqrt(ex * ex + ey * ey) AS my FROM m WHERE sqrt(ex * ex + ey * ey) >= 1e-9::DOUBLE),
+s AS (
+  SELECT mesh, first_fid, count(*) AS n_faces,
+         max(greatest(ay * mx - ax * my, (ay + uy) * mx - (ax + ux) * my, (ay + wy) * mx - (ax + wx) * my)) - min(least(ay * mx - ax * my, (ay + uy) * mx - (ax + ux) * my, (ay + wy) * mx - (ax + wx) * my)) AS width,
+         max(greatest(az, az + uz, az + wz)) - min(least(az, az + uz, az + wz)) AS height
+  FROM g JOIN e USING (mesh, dir, place) GROUP BY mesh, dir, place, first_fid)
+SELECT mesh, first_fid, n_faces, round(width, 6) AS width, round(height, 6) AS height FROM s WHERE width * height >= 6.0 AND width >= 1.0 AND height >= 1.0""")
 def wall_planes(t):
     v, f = _mesh(t)
     return facade.wall_panels(mesh.corners(f, v, ["mesh"]), "mesh").select("mesh", "first_fid", "n_faces", F.round("width", 6).alias("width"), F.round("height", 6).alias("height"))
@@ -180,7 +198,8 @@ def matrix_points(t):
     return t("supplier").select("s_suppkey", F.round(p["x"], 6).alias("x"), p["y"].alias("y"), p["z"].alias("z"))
 
 
-@query("pinhole_pixels")
+@query("pinhole_pixels", """
+SELECT c_custkey, round(13000.0::DOUBLE * c_acctbal / (5000.0::DOUBLE + c_custkey), 4) AS u, round(13000.0::DOUBLE * (50.0::DOUBLE - c_nationkey) / (5000.0::DOUBLE + c_custkey), 4) AS v, 5000.0::DOUBLE + c_custkey AS depth FROM customer""")
 def pinhole_pixels(t):
     turn = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in ((1, 0, 0), (0, 0, -1), (0, 1, 0))])
     point = G.vec(F.col("c_acctbal"), 5000.0 + F.col("c_custkey").cast("double"), F.col("c_nationkey").cast("double"))

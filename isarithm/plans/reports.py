@@ -119,9 +119,15 @@ def valid_names(t):
     return t("pages").select("page_id", texts.valid_name(F.col("url")).alias("ok"))
 
 
-@query("area_sheets")
+@query("area_sheets", """
+WITH k AS (SELECT printf('%03d%03d', CAST(j.range - 6000 AS INTEGER), CAST(i.range AS INTEGER)) AS s FROM range(656, 665) i, range(6468, 6478) j),
+q AS (
+  SELECT printf('%d%d%d%d%d', CAST(n // 100000 - 59 AS INTEGER), CAST(e // 100000 - 2 AS INTEGER), CAST(n // 10000 % 10 AS INTEGER), CAST(e // 10000 % 10 AS INTEGER),
+                CAST(1 + (CASE WHEN e % 10000 >= 5000 THEN 1 ELSE 0 END) + (CASE WHEN n % 10000 >= 5000 THEN 2 ELSE 0 END) AS INTEGER)) AS s
+  FROM (SELECT i.range * 5000 AS e, j.range * 5000 AS n FROM range(131, 133) i, range(1293, 1296) j))
+SELECT 'base' AS map, 1296 AS chunks, (SELECT string_agg(s, ',' ORDER BY s) FROM k) AS sheets_1km, (SELECT string_agg(s, ',' ORDER BY s) FROM q) AS sheets_5km""")
 def area_sheets(t):
-    return report.area_report(t("region").sparkSession, "base", (656000.0, 6468500.0, 665000.0, 6477500.0)).select("map", "chunks", "sheets_1km", "sheets_5km")
+    return report.area_report(t("region").sparkSession, "base", (656000.0, 6468500.0, 665000.0, 6477500.0)).select("map", "chunks", *[F.array_join(c, ",").alias(c) for c in ("sheets_1km", "sheets_5km")])
 
 
 @query("keyword_values", """

@@ -106,7 +106,13 @@ def still_indices(t):
     return placed.select("o_orderkey", sequence.still_index(F.col("seconds"), F.col("at"), F.col("before"), 30).alias("still"))
 
 
-@query("orbit_poses")
+@query("orbit_poses", """
+WITH f AS (SELECT n_nationkey AS n, n_regionkey AS r, n_nationkey % 3 AS kind, CAST(range AS INTEGER) AS frame, range / 59.0::DOUBLE AS s FROM nation, range(60)),
+t AS (SELECT *, s * s * (3.0::DOUBLE - 2.0::DOUBLE * s) AS t FROM f),
+p AS (SELECT *, radians(360.0::DOUBLE * t) AS a, CASE WHEN kind = 1 THEN 50.0::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * t) ELSE 50.0::DOUBLE END AS radius FROM t)
+SELECT n AS n_nationkey, frame, round(CASE WHEN kind = 2 THEN r + (n - r) * t ELSE n + radius * cos(a) END, 6) AS x, round(CASE WHEN kind = 2 THEN n + (n - n) * t ELSE r + radius * sin(a) END, 6) AS z,
+       round(CASE WHEN kind = 1 THEN 20.0::DOUBLE * (0.15::DOUBLE + 0.85::DOUBLE * t) ELSE 20.0::DOUBLE END, 6) AS above
+FROM p""")
 def orbit_poses(t):
     place = lambda x, z: F.struct(F.col(x).cast("double").alias("x"), F.col(z).cast("double").alias("z"))
     shots = t("nation").select(

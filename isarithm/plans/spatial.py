@@ -31,7 +31,17 @@ def spatial_anti(t):
     return spatial.far_from(c, s, "c_acctbal", "y", "s_acctbal", "oy", 200.0).select("c_custkey")
 
 
-@query("hull_anti")
+#: A hull is all triangles and segments between its points.
+@query("hull_anti", """
+WITH s AS (SELECT s_nationkey AS k, s_suppkey AS i, s_acctbal AS x, CAST(s_suppkey % 977 AS DOUBLE) AS y FROM supplier), c AS (SELECT c_custkey, c_acctbal AS x, CAST(c_custkey % 977 AS DOUBLE) AS y FROM customer),
+g AS (SELECT a.x AS ax, a.y AS ay, b.x - a.x AS dx, b.y - a.y AS dy, (b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) AS l FROM s a JOIN s b ON a.k = b.k AND a.i <= b.i),
+near AS (
+  SELECT DISTINCT c_custkey FROM (SELECT c_custkey, c.x, c.y, g.*, CASE WHEN l = 0 THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, ((c.x - ax) * dx + (c.y - ay) * dy) / l)) END AS t FROM c, g)
+  WHERE sqrt((x - ax - t * dx) * (x - ax - t * dx) + (y - ay - t * dy) * (y - ay - t * dy)) <= 12.0::DOUBLE),
+t AS (SELECT p.x AS px, p.y AS py, q.x AS qx, q.y AS qy, r.x AS rx, r.y AS ry FROM s p JOIN s q ON p.k = q.k AND p.i < q.i JOIN s r ON r.k = q.k AND q.i < r.i),
+signs AS (SELECT c_custkey, (qx - px) * (y - py) - (qy - py) * (x - px) AS a, (rx - qx) * (y - qy) - (ry - qy) * (x - qx) AS b, (px - rx) * (y - ry) - (py - ry) * (x - rx) AS d FROM c, t),
+within_ AS (SELECT DISTINCT c_custkey FROM signs WHERE (a >= 0 AND b >= 0 AND d >= 0 AND a + b + d > 0) OR (a <= 0 AND b <= 0 AND d <= 0 AND a + b + d < 0))
+SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM near) AND c_custkey NOT IN (SELECT c_custkey FROM within_)""")
 def hull_anti(t):
     c = t("customer").select("c_custkey", F.col("c_acctbal").alias("x"), (F.col("c_custkey") % 977).cast("double").alias("y"))
     s = t("supplier").select("s_nationkey", F.col("s_acctbal").alias("x"), (F.col("s_suppkey") % 977).cast("double").alias("y"))

@@ -125,3 +125,25 @@ def write_glb(path: str, named: dict[str, tuple[np.ndarray, np.ndarray, np.ndarr
     with open(path, "wb") as f:
         f.write(out)
     return len(out)
+
+
+def write_tables(vertices: DataFrame, faces: DataFrame, path: str, most: int = 20_000_000) -> int:
+    """One binary of named meshes given as vertices (mesh, vid, x, y, z, u, v) and faces (mesh, a, b, c) that hold vertex ids.
+
+    A binary is one file, so the meshes pass through the driver: more than `most` vertices and faces are an error, and
+    belong in tables. Meshes come in order of name; faces with unknown vertices are an error. Returns its bytes.
+    """
+    rows = vertices.count() + faces.count()
+    if rows > most:
+        raise ValueError(f"{rows} vertices and faces are more than one binary is written of ({most})")
+    v, f = vertices.select("mesh", "vid", "x", "y", "z", "u", "v").toPandas(), faces.select("mesh", "a", "b", "c").toPandas()
+    of = dict(iter(f.groupby("mesh")))
+    named = {}
+    for name, part in sorted(v.groupby("mesh")):
+        part = part.sort_values("vid")
+        ids = part["vid"].to_numpy()
+        corners = of[name][["a", "b", "c"]].to_numpy() if name in of else np.zeros((0, 3), np.int64)
+        if not np.isin(corners, ids).all():
+            raise ValueError(f"faces of {name} name vertices that it does not have")
+        named[name] = (part[["x", "y", "z"]].to_numpy(), part[["u", "v"]].to_numpy(), np.searchsorted(ids, corners))
+    return write_glb(path, named)
