@@ -14,7 +14,9 @@ not grow with either table. Work grows with the places where texts hold seeds.
 Defined cases: a null or empty text, and an item without words, match nothing; an item shorter than
 n words is one seed and must occur whole; repeated rows are reported as one id and item pair with
 the best score; rows with a null id, and items with a null id, are left out, as a pair could not name
-them; equal test items under two ids are both reported. Only ids and texts are read.
+them; equal test items under two ids are both reported; of equally good alignments of a pair the one that
+ends last is told; very long texts are aligned only around their hits, in rows of at most ROW_CELLS cells,
+and a task holds one of them whole. Only ids and texts are read.
 """
 
 from __future__ import annotations
