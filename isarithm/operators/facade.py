@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isarithm.functions import geometry as G
+from isarithm.operators import select
 
 BLEND_POWER, BLEND_LEAST = 4, 0.02
 
+# Focal length in pixels and tilt that a camera's fit starts from.
+START_FOCAL, START_TILT = 13000.0, 0.78
+
 
 def gated_correlation(df: DataFrame, group: list[str], a: str, b: str, least: int = 400) -> DataFrame:
     """(group, n, corr): Pearson correlation; 0 with fewer than `least` pairs or no variance."""
@@ -186,52 +192,61 @@ def homography(src: np.ndarray, dst: np.ndarray) -> np.ndarray:
     return np.linalg.svd(np.array(rows, float))[2][-1].reshape(3, 3)
 
 
-def camera_axes(azimuth: float, tilt: float, roll: float) -> np.ndarray:
-    """Rows right, down, forward of a camera looking along the azimuth, tilted from straight down."""
+def camera_axes(azimuth, tilt, roll) -> np.ndarray:
+    """Rows right, down, forward of cameras looking along the azimuth, tilted from straight down; numbers or arrays."""
     sa, ca, st, ct = np.sin(azimuth), np.cos(azimuth), np.sin(tilt), np.cos(tilt)
-    forward = np.array([sa * st, ca * st, -ct])
-    right = np.array([ca, -sa, 0.0])
+    forward = np.stack([sa * st, ca * st, -ct], axis=-1)
+    right = np.stack([ca, -sa, np.zeros_like(sa)], axis=-1)
     down = np.cross(forward, right)
-    sr, cr = np.sin(roll), np.cos(roll)
-    return np.stack([cr * right + sr * down, -sr * right + cr * down, forward])
+    sr, cr = np.sin(roll)[..., None], np.cos(roll)[..., None]
+    return np.stack([cr * right + sr * down, -sr * right + cr * down, forward], axis=-2)
 
 
-def fit_camera(corners: np.ndarray, width: float, height: float, seeds: list[np.ndarray], rounds: int = 200) -> tuple[np.ndarray, float]:
-    """Seven camera parameters (focal, x, y, z, azimuth, tilt, roll) from the ground places of the four frame corners.
+def fit_cameras(corners: np.ndarray, width: np.ndarray, height: np.ndarray, seeds: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Seven camera parameters (focal, x, y, z, azimuth, tilt, roll) and the root mean square error in pixels of every fit.
 
-    Damped least squares from every seed; returns the best parameters and the root mean square error in pixels.
+    corners: n x 4 x 3 ground places of the frame's corners from the top left around; seeds: n x 7. All fits take
+    their damped least-squares steps at once; one that has settled takes no part in later rounds.
     """
-    pixels = np.array([[0, 0], [width, 0], [width, height], [0, height]], float)
+    zero = np.zeros(len(seeds))
+    frame = np.stack([np.stack(c, axis=-1) for c in ((zero, zero), (width, zero), (width, height), (zero, height))], axis=1) - np.stack([width, height], axis=-1)[:, None] / 2
     scale = np.array([1e3, 1e2, 1e2, 1e2, 1e-2, 1e-2, 1e-2])
 
-    def errors(q: np.ndarray) -> np.ndarray:
-        d = corners - q[1:4]
-        axes = camera_axes(*q[4:7])
-        depth = np.maximum(d @ axes[2], 1e-6)
-        return np.concatenate([q[0] * (d @ axes[0]) / depth + width / 2 - pixels[:, 0], q[0] * (d @ axes[1]) / depth + height / 2 - pixels[:, 1]])
-
-    best, least = seeds[0], np.inf
-    for seed in seeds:
-        q, damping = seed.astype(float).copy(), 1e-3
-        e = errors(q)
-        cost = e @ e
-        for _ in range(rounds):
-            jac = np.stack([(errors(q + h * unit) - errors(q - h * unit)) / (2 * h) * s for s, h, unit in zip(scale, scale * 1e-4, np.eye(7), strict=True)], axis=1)
-            step = np.linalg.lstsq(np.vstack([jac, np.sqrt(damping) * np.eye(7)]), np.concatenate([-e, np.zeros(7)]), rcond=None)[0]
-            after = q + step * scale
-            e2 = errors(after)
-            if e2 @ e2 < cost:
-                small = cost - e2 @ e2 < 1e-12 * max(cost, 1e-12)
-                q, e, cost, damping = after, e2, e2 @ e2, max(damping / 5, 1e-12)
-                if small:
-                    break
-            else:
-                damping *= 5
-                if damping > 1e12:
-                    break
-        if cost < least:
-            best, least = q, cost
-    return best, float(np.sqrt(2 * (least / 2) / 8))
+    def errors(q: np.ndarray, of: np.ndarray) -> np.ndarray:
+        seen = np.einsum("nij,nkj->nki", camera_axes(q[:, 4], q[:, 5], q[:, 6]), corners[of] - q[:, None, 1:4])
+        flat = q[:, None, :1] * seen[..., :2] / np.maximum(seen[..., 2:], 1e-6)
+        return (flat - frame[of]).reshape(len(q), 8)
+
+    q, damping = seeds.astype(float).copy(), np.full(len(seeds), 1e-3)
+    live = np.arange(len(seeds))
+    e = errors(q, live)
+    cost = (e * e).sum(axis=1)
+    for _ in range(rounds):
+        if not len(live):
+            break
+        now = q[live]
+        jac = np.stack([(errors(now + h * unit, live) - errors(now - h * unit, live)) / (2 * h) * s for s, h, unit in zip(scale, scale * 1e-4, np.eye(7), strict=True)], axis=2)
+        damped = np.concatenate([jac, np.sqrt(damping[live])[:, None, None] * np.eye(7)], axis=1)
+        left, upper = np.linalg.qr(damped)
+        step = np.linalg.solve(upper, -np.einsum("nij,ni->nj", left[:, :8], e[live])[..., None])[..., 0]
+        after = now + step * scale
+        e2 = errors(after, live)
+        cost2 = (e2 * e2).sum(axis=1)
+        better = cost2 < cost[live]
+        small = better & (cost[live] - cost2 < 1e-12 * np.maximum(cost[live], 1e-12))
+        won = live[better]
+        q[won], e[won], cost[won] = after[better], e2[better], cost2[better]
+        damping[live] = np.where(better, np.maximum(damping[live] / 5, 1e-12), damping[live] * 5)
+        live = live[~small & (damping[live] <= 1e12)]
+    return q, np.sqrt(cost / 8)
+
+
+def fit_camera(corners: np.ndarray, width: float, height: float, seeds: list[np.ndarray], rounds: int = 200) -> tuple[np.ndarray, float]:
+    """The best of the fits of one camera from all seeds."""
+    n = len(seeds)
+    q, rms = fit_cameras(np.broadcast_to(corners, (n, 4, 3)), np.full(n, float(width)), np.full(n, float(height)), np.stack(seeds), rounds)
+    best = int(np.argmin(rms))
+    return q[best], float(rms[best])
 
 
 def resect(photos: DataFrame, key: str = "id") -> DataFrame:
@@ -260,6 +275,53 @@ def resect(photos: DataFrame, key: str = "id") -> DataFrame:
     return photos.select(key, "width", "height", "above", "corners").mapInPandas(fit, f"{key} {kind}, f_px double, x double, y double, z double, azimuth double, tilt double, roll double, rms_px double")
 
 
+def camera_starts(photos: DataFrame, azimuths: Column, key: str = "id") -> DataFrame:
+    """(key, width, height, above, ground, rot, rev, seed, roll, azimuth): a row for every fit that a photo's camera asks for.
+
+    A photo has width, height, the guess `above` of the camera's height and corners, a ring of four ground places
+    (e, n, z) of which nobody knows where it starts and which way it runs. `azimuths` are the ways that it may look,
+    each tried back to front too; without any, eight all around. `ground` are the corners in the order of one
+    of the eight readings. A photo without four whole corners has no rows.
+    """
+    whole = (F.size("corners") == 4) & F.forall("corners", lambda c: c["e"].isNotNull() & c["n"].isNotNull() & c["z"].isNotNull())
+    around = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: k * (math.pi / 4))
+    seeds = F.when(F.size(azimuths) > 0, F.flatten(F.transform(azimuths, lambda a: F.array(a, a + math.pi)))).otherwise(around)
+    turned = F.concat(F.slice("corners", F.col("rot") + 1, 4), F.slice("corners", 1, F.col("rot")))
+    rows = photos.where(whole).select(key, "width", "height", "above", "corners", seeds.alias("_seeds"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("rot"))
+    both = rows.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("rev")).withColumn("ground", F.when(F.col("rev"), F.reverse(turned)).otherwise(turned))
+    aimed = both.drop("corners").select("*", F.posexplode("_seeds").alias("seed", "azimuth")).drop("_seeds")
+    return aimed.select("*", F.explode(F.array(F.lit(0.0), F.lit(math.pi))).alias("roll"))
+
+
+def camera_candidates(photos: DataFrame, azimuths: Column, key: str = "id") -> DataFrame:
+    """Every different plausible camera of each photo: key, rot, rev, f_px, centre, rotation, tilt_deg, rms_px, width, height, ground_z.
+
+    Several readings of a ring fit to a pixel, so all are kept for `ordering_scores` to choose from. Each start of
+    `camera_starts` is a row of its own and is fitted by itself, so one photo's fits are spread over tasks.
+    Of cameras that agree in place to 5 m and in focal length to 50 pixels the first start's stays.
+    A photo that no plausible camera fits has no rows.
+    """
+
+    def fit(batches):
+        for part in batches:
+            ring = np.array([[[c["e"], c["n"], c["z"]] for c in g] for g in part["ground"]], float).reshape(-1, 4, 3)
+            middle, n = ring.mean(axis=1), len(part)
+            seeds = np.column_stack([np.full(n, START_FOCAL), middle[:, :2], middle[:, 2] + part["above"], part["azimuth"], np.full(n, START_TILT), part["roll"]])
+            # The frame's corners run top left, top right, bottom right, bottom left; the ring runs the other way.
+            q, rms = fit_cameras(ring[:, [0, 3, 2, 1]], part["width"].to_numpy(float), part["height"].to_numpy(float), seeds)
+            turn = camera_axes(q[:, 4], q[:, 5], q[:, 6] + np.where(q[:, 0] < 0, np.pi, 0.0))
+            fits = {"f_px": np.abs(q[:, 0]), "x": q[:, 1], "y": q[:, 2], "z": q[:, 3], "rotation": turn.tolist(), "_tilt": np.degrees(q[:, 5]), "rms_px": rms, "ground_z": middle[:, 2]}
+            yield part.drop(columns=["ground"]).assign(**fits)
+
+    starts = camera_starts(photos, azimuths, key).repartition(key, "rot", "rev", "seed", "roll")
+    rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in starts.schema if f.name != "ground")
+    fitted = starts.mapInPandas(fit, f"{rest}, f_px double, x double, y double, z double, rotation array<array<double>>, _tilt double, rms_px double, ground_z double").withColumn("tilt_deg", G.fold_tilt(F.col("_tilt")))
+    kept = fitted.where(plausible(F.col("z") - F.col("ground_z"), F.col("above"), F.col("tilt_deg"), F.col("rms_px"), F.col("width")))
+    near = {f"_{c}": F.rint(F.col(c) / by) for c, by in (("x", 5.0), ("y", 5.0), ("z", 5.0), ("f_px", 50.0))}
+    first = select.first_wins(kept.withColumns(near), [key, *near], ["rot", "rev", "seed", "roll"])
+    return first.select(key, "rot", "rev", "f_px", G.vec(F.col("x"), F.col("y"), F.col("z")).alias("centre"), "rotation", "tilt_deg", "rms_px", "width", "height", "ground_z")
+
+
 def usable_photos(photos: DataFrame) -> DataFrame:
     """Accurate tiled photos of two camera models from a plausible height, from 2022 on; dates compare as text."""
     camera = F.split("rada", "/")[1]

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from isarithm.operators import maps, mesh, photos, scene
+from isarithm.operators import facade, maps, mesh, photos, scene
 from isarithm.sources import gltf
 
 
@@ -113,3 +113,36 @@ def test_vanishing_points_of_a_tilted_frame(spark):
     df = spark.createDataFrame([([{"e": e, "n": n} for e, n in ring],)], "c array<struct<e: double, n: double>>")
     out = df.select(photos.vanishing_azimuths(F.col("c")).alias("a")).first()["a"]
     assert len(out) == 1 and abs(out[0]) < 1e-9
+
+
+def test_candidates_hold_the_true_camera(spark):
+    """Whichever corner the ring starts at and whichever way it runs; photos without four whole corners have none."""
+    focal, eye, w, h = 13000.0, np.array([100.0, -200.0, 900.0]), 7952, 5304
+    axes = facade.camera_axes(0.7, np.radians(45), 0.02)
+    ring = []
+    for px, py in ((0, 0), (0, h), (w, h), (w, 0)):
+        d = axes.T @ np.array([(px - w / 2) / focal, (py - h / 2) / focal, 1.0])
+        ring.append(tuple(float(v) for v in eye + d * (-eye[2] / d[2])))
+    rings = {1: ring, 2: ring[2:] + ring[:2], 3: ring[::-1], 4: ring[:3], 5: ring[:3] + [(None, 0.0, 0.0)], 6: []}
+    df = spark.createDataFrame([(i, w, h, 950.0, r) for i, r in rings.items()], "id long, width int, height int, above double, corners array<struct<e: double, n: double, z: double>>")
+    df = df.unionByName(spark.createDataFrame([(7, w, h, 950.0, None)], df.schema))
+    out = facade.camera_candidates(df, photos.vanishing_azimuths(F.col("corners"))).collect()
+    assert {r["id"] for r in out} == {1, 2, 3}
+    for i in (1, 2, 3):
+        own = [r for r in out if r["id"] == i]
+        places = [(round(r["centre"]["x"] / 5), round(r["centre"]["y"] / 5), round(r["centre"]["z"] / 5), round(r["f_px"] / 50)) for r in own]
+        assert len(set(places)) == len(places)
+        true = min(own, key=lambda r: np.abs(np.array([r["centre"][c] for c in "xyz"]) - eye).max())
+        assert np.abs(np.array([true["centre"][c] for c in "xyz"]) - eye).max() < 5 and abs(true["f_px"] - focal) < 100 and true["rms_px"] < 1
+        assert abs(true["tilt_deg"] - 45) < 1
+
+
+def test_starts_read_a_ring_eight_ways(spark):
+    ring = [(float(k), float(-k), 0.0) for k in range(4)]
+    df = spark.createDataFrame([(1, 10, 10, 1.0, ring)], "id long, width int, height int, above double, corners array<struct<e: double, n: double, z: double>>")
+    none, one = F.array().cast("array<double>"), F.array(F.lit(0.5))
+    rows = facade.camera_starts(df, one).collect()
+    orders = {(r["rot"], r["rev"]): tuple(int(c["e"]) for c in r["ground"]) for r in rows}
+    assert len(rows) == 8 * 2 * 2 and len(set(orders.values())) == 8
+    assert orders[(1, False)] == (1, 2, 3, 0) and orders[(1, True)] == (0, 3, 2, 1)
+    assert facade.camera_starts(df, none).count() == 8 * 8 * 2
