@@ -118,16 +118,23 @@ def apply_matrix(m: Column, x: Column, y: Column, z: Column) -> Column:
     return vec(row(0), row(1), row(2))
 
 
+def bound(value: Column, body) -> Column:
+    """body of a value that is worked out once, however often body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def look_at(eye: Column, target: Column) -> Column:
-    """Rows right, up, back (structs) of a view from eye to target, y up; a view along the axis uses north as up."""
-    away = minus(target, eye)
-    size = norm(away)
-    forward = F.when(size < 1e-9, vec(0.0, 0.0, -1.0)).otherwise(vec(away["x"] / size, away["y"] / size, away["z"] / size))
-    up = F.when(F.abs(forward["y"]) > 0.999, vec(0.0, 0.0, -1.0)).otherwise(vec(0.0, 1.0, 0.0))
-    side = cross(forward, up)
-    by = F.greatest(norm(side), F.lit(1e-9))
-    right = vec(side["x"] / by, side["y"] / by, side["z"] / by)
-    return F.struct(right.alias("right"), cross(right, forward).alias("up"), vec(-forward["x"], -forward["y"], -forward["z"]).alias("back"))
+    """Rows right, up, back (structs) of a view from eye to target, y up; a view along the axis uses north as up.
+
+    Each step names the one before several times, so every step is bound: written out, the expression would not fit in memory.
+    """
+    over = lambda v, by: vec(v["x"] / by, v["y"] / by, v["z"] / by)
+    ahead = lambda d: F.when(norm(d) < 1e-9, vec(0.0, 0.0, -1.0)).otherwise(over(d, norm(d)))
+    up = lambda f: F.when(F.abs(f["y"]) > 0.999, vec(0.0, 0.0, -1.0)).otherwise(vec(0.0, 1.0, 0.0))
+    rows = lambda f, r: F.struct(r.alias("right"), cross(r, f).alias("up"), vec(-f["x"], -f["y"], -f["z"]).alias("back"))
+    side = lambda f: bound(up(f), lambda u: cross(f, u))
+    view = lambda f: bound(bound(side(f), lambda s: over(s, F.greatest(norm(s), F.lit(1e-9)))), lambda r: rows(f, r))
+    return bound(bound(minus(target, eye), ahead), view)
 
 
 def perspective(fov_deg: Column, aspect: float, near: float, far: float) -> Column:
