@@ -149,7 +149,7 @@ def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
 
 
 def _repeated(shared, bits: int):
-    """The runs whose bit is set."""
+    """The runs whose bit is set, a row for each document that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = shared.value
@@ -158,10 +158,11 @@ def _repeated(shared, bits: int):
                 h, doc, at = _own_runs(piece.column(0))
                 bit = h[0].view(np.int64) % bits
                 use = (marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
-                doc, number = doc[use], [piece.column(k).to_numpy(zero_copy_only=False) for k in (1, 2)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[0][use].view(np.int64)), pa.array(h[1][use].view(np.int64)), pa.array(number[0][doc]), pa.array(number[1][doc]), pa.array(at[use])], names=["h", "g", "id", "th", "at"]
-                )
+                order = np.flatnonzero(use)[np.argsort(doc[use], kind="stable")]
+                some, size = np.unique(doc[order], return_counts=True)
+                edge = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+                listed = [pa.ListArray.from_arrays(edge, pa.array(x[order])) for x in (h[0].view(np.int64), h[1].view(np.int64), at)]
+                yield pa.RecordBatch.from_arrays([*listed, *[piece.column(k).take(pa.array(some)) for k in (1, 2)]], names=["h", "g", "at", "id", "th"])
 
     return run
 
@@ -220,8 +221,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Rows of equal id and text count as one document.
     twice = rows.select("text").mapInArrow(_hashes, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(twice, bits))
-    found = cut(rows.mapInArrow(_repeated(shared, bits), "h long, g long, id long, th long, at long"))
-    first = found.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "at")).alias("first")).where("n > 1").select("h", "g", "first")
+    # Kept as one row a document with lists: half the bytes of a row a run.
+    held = cut(rows.mapInArrow(_repeated(shared, bits), "h array<long>, g array<long>, at array<long>, id long, th long"))
+    found = held.select("id", "th", F.inline(F.arrays_zip("h", "g", "at")))
+    first = found.groupBy("h", "g").agg(F.min(F.struct("id", "th", "at")).alias("first"))
     later = found.join(first, ["h", "g"]).where(F.struct("id", "th", "at") != F.col("first"))
     return later.groupBy("id", "th").agg(F.collect_set("at").alias("spans"))
 
