@@ -103,21 +103,21 @@ def terrain_chunks(spark: SparkSession, box: Box, step: float, size: float) -> t
     return dealt.select(named.alias("chunk"), "i", "j", "x", "y", "u", "v"), faces.select(F.format_string("terrain_r%02dc%02d", r, c).alias("chunk"), "a", "b", "c")
 
 
-def building_meshes(cornered: DataFrame, origin: tuple[float, float, float], scale: float = 4.0, roof_box: Box | None = None, roof: float = 0.5) -> DataFrame:
-    """(part, fid, corner, p, uv): unwelded triangles of walls and roofs in y-up axes, from z-up faces with pa, pb, pc.
+def building_meshes(cornered: DataFrame, origin: tuple[float, float, float], scale: float = 4.0, roof_box: Box | None = None, roof: float = 0.5, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, part, fid, corner, p, uv): unwelded triangles of walls and roofs in y-up axes, from z-up faces with pa, pb, pc.
 
     With `roof_box` roofs take their picture from straight above.
     """
     e0, n0, h0 = origin
-    game = cornered.select("fid", *[G.to_game(F.col(f"{k}.x"), F.col(f"{k}.y"), F.col(f"{k}.z"), e0, n0, h0).alias(k) for k in ("pa", "pb", "pc")])
+    game = cornered.select(*keys, "fid", *[G.to_game(F.col(f"{k}.x"), F.col(f"{k}.y"), F.col(f"{k}.z"), e0, n0, h0).alias(k) for k in ("pa", "pb", "pc")])
     parts = mesh.classify(game, roof)
-    rows = parts.select(F.concat("part", F.lit("s")).alias("part"), "fid", "n", F.posexplode(F.array("pa", "pb", "pc")).alias("corner", "p"))
+    rows = parts.select(*keys, F.concat("part", F.lit("s")).alias("part"), "fid", "n", F.posexplode(F.array("pa", "pb", "pc")).alias("corner", "p"))
     uv = G.planar_uv(F.col("p.x"), F.col("p.y"), F.col("p.z"), F.col("n.x"), F.col("n.y"), scale)
     if roof_box is not None:
         xmin, ymin, xmax, ymax = roof_box
         above = F.struct(((F.col("p.x") + e0 - xmin) / (xmax - xmin)).alias("u"), ((ymax - (n0 - F.col("p.z"))) / (ymax - ymin)).alias("v"))
         uv = F.when(F.col("part") == "roofs", above).otherwise(uv)
-    return rows.select("part", "fid", "corner", "p", uv.alias("uv"))
+    return rows.select(*keys, "part", "fid", "corner", "p", uv.alias("uv"))
 
 
 def buildings_inside(faces: DataFrame, vertices: DataFrame, keys: list[str], box: Box) -> DataFrame:

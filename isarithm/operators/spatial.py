@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Bins of a line that one block of them holds.
+BINS = 4096
+
 
 def inside_box(df: DataFrame, x: str, y: str, box: tuple[float, float, float, float]) -> DataFrame:
     """Rows inside a box, borders included."""
@@ -105,13 +108,18 @@ def nearest_on_line(points: DataFrame, donors: DataFrame, key: list[str], x: str
     spot = F.struct("_at", "_d")
     bins = d.groupBy(*by, "_bin").agg(F.min_by(spot, F.col("_at")).alias("_first"), F.max_by(spot, F.col("_at")).alias("_last"))
     asked = points.where(F.col(x).isNotNull()).select(*by, F.floor(F.col(x) / width).alias("_bin")).distinct()
-    w = Window.partitionBy(*by).orderBy("_bin")
-    table = bins.join(asked, [*by, "_bin"], "full").select(
-        *by,
-        "_bin",
-        F.last("_last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.first("_first", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_behind"),
-    )
+    # Bins are carried within blocks of them, and block to block through one summary row each.
+    table = bins.join(asked, [*by, "_bin"], "full").withColumn("_block", F.floor(F.col("_bin") / BINS))
+    ends = table.groupBy(*by, "_block").agg(*[pick(c, F.when(F.col(c).isNotNull(), F.col("_bin"))).alias(c) for pick, c in ((F.max_by, "_last"), (F.min_by, "_first"))])
+
+    def carried(rows: DataFrame, within: list[str], order: str, names: tuple[str, str]) -> DataFrame:
+        w = Window.partitionBy(*within).orderBy(order)
+        before = F.last("_last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return rows.select(*within, order, before.alias(names[0]), F.first("_first", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias(names[1]))
+
+    inner = carried(table, [*by, "_block"], "_bin", ("_before", "_behind"))
+    outer = carried(ends, by, "_block", ("_far_before", "_far_behind"))
+    table = inner.join(outer, [*by, "_block"]).select(*by, "_bin", F.coalesce("_before", "_far_before").alias("_before"), F.coalesce("_behind", "_far_behind").alias("_behind"))
     p = points.select(*key, *[g for g in by if g not in key], F.col(x).alias("_x"), F.floor(F.col(x) / width).alias("_bin"))
     option = lambda place, who: F.when(place.isNotNull(), F.struct(F.abs(place - F.col("_x")).alias("distance"), who.alias("donor")))
     own = p.join(d, [*by, "_bin"], "left").groupBy(*key, *[g for g in by if g not in key], "_x", "_bin").agg(F.min(option(F.col("_at"), F.col("_d"))).alias("_own"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isarithm.plans import geometry, rasters, reports, scenes, selection, spatial, stages, walls  # noqa: F401
+from isarithm.plans import builds, geometry, rasters, reports, scenes, selection, spatial, stages, walls  # noqa: F401
 from isarithm.plans.registry import QUERIES, SQL
 
 

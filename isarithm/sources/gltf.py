@@ -74,7 +74,7 @@ def accessor(js: dict, data: bytes, index: int) -> np.ndarray:
     return flat.reshape(a["count"], width)
 
 
-MESH = "path string, mesh string, positions array<array<double>>, uv array<array<double>>, faces array<array<int>>"
+MESH = "path string, mesh string, positions array<array<double>>, uv array<array<double>>, faces array<array<int>>, mesh_index int, part int"
 
 
 def meshes(spark: SparkSession, path: str) -> DataFrame:
@@ -85,15 +85,15 @@ def meshes(spark: SparkSession, path: str) -> DataFrame:
             rows = []
             for name, raw in zip(part["path"], part["content"], strict=True):
                 js, data = chunks(bytes(raw))
-                for m in js.get("meshes", []):
-                    for p in m["primitives"]:
+                for i, m in enumerate(js.get("meshes", [])):
+                    for j, p in enumerate(m["primitives"]):
                         if "KHR_draco_mesh_compression" in p.get("extensions", {}):
                             raise ValueError(f"{name} holds compressed primitives, which need a decoder that is not part of this library")
                         positions = accessor(js, data, p["attributes"]["POSITION"]).astype(float)
                         uv = accessor(js, data, p["attributes"]["TEXCOORD_0"]).astype(float) if "TEXCOORD_0" in p["attributes"] else np.zeros((0, 2))
                         faces = accessor(js, data, p["indices"]).astype(np.int32) if "indices" in p else np.arange(len(positions), dtype=np.int32)
-                        rows.append((name, m.get("name", ""), positions.tolist(), uv.tolist(), faces.reshape(-1, 3).tolist()))
-            yield pd.DataFrame(rows, columns=["path", "mesh", "positions", "uv", "faces"])
+                        rows.append((name, m.get("name", ""), positions.tolist(), uv.tolist(), faces.reshape(-1, 3).tolist(), i, j))
+            yield pd.DataFrame(rows, columns=["path", "mesh", "positions", "uv", "faces", "mesh_index", "part"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, MESH)
 

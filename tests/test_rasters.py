@@ -72,6 +72,19 @@ def test_smoothing_keeps_the_mean_and_wraps(spark):
     assert np.allclose(out, want) and np.isclose(out.mean(), a.mean())
 
 
+@pytest.mark.parametrize(("rows", "cols", "radius"), [(3, 4, 5), (130, 70, 2), (75, 150, 9)])
+def test_windows_over_many_tiles(spark, rows, cols, radius):
+    rng = np.random.default_rng(rows)
+    a = np.where(rng.random((rows, cols)) < 0.3, rng.random((rows, cols)), np.nan)
+    want = np.full((rows, cols), np.nan)
+    for i in range(-radius, radius + 1):
+        for j in range(-radius, radius + 1):
+            want = np.fmax(want, np.roll(a, (i, j), (0, 1)))
+    got = stencil.window(raster(spark, a), rows, cols, radius, F.max)
+    assert got.count() == got.select("row", "col").distinct().count()
+    assert np.array_equal(array(got, rows, cols), want, equal_nan=True)
+
+
 @pytest.mark.parametrize("holes", [0, 1, 60, 255, 256])
 def test_hole_fill(spark, holes):
     rng = np.random.default_rng(holes)
