@@ -25,17 +25,19 @@ def boxes_overlap(a: Column, b: Column) -> Column:
 
 
 def range_counts(left: DataFrame, right: DataFrame, key: list[str], x: str, other: str, reach: float) -> DataFrame:
-    """(key, n): for each left row how many right values lie within `reach` of x; 0 is kept.
+    """(key, n): for each key how many right values lie from x - reach to x + reach, both ends as computed; 0 is kept.
 
-    The right side is first reduced to a count per value, then both sides meet on bins as wide as
-    the reach: a left row looks into three.
+    The right side is first reduced to a count per value, then both sides meet on bins as wide as `reach`: a left
+    row looks into those that its two ends and what is between them fall into. Rows of one key add up, and rows
+    without a key are one key.
     """
     values = right.where(F.col(other).isNotNull()).groupBy(F.col(other).alias("_v")).agg(F.count("*").alias("_n"))
     binned = values.withColumn("_bin", F.floor(F.col("_v") / reach))
-    near = F.explode(F.array(*[F.floor(F.col(x) / reach) + d for d in (-1, 0, 1)]))
-    hits = left.where(F.col(x).isNotNull()).select(*key, x, near.alias("_bin")).join(binned, "_bin").where(F.abs(F.col("_v") - F.col(x)) <= reach)
-    found = hits.groupBy(*key).agg(F.sum("_n").alias("_n"))
-    return left.select(*key).join(found, key, "left").select(*key, F.coalesce("_n", F.lit(0)).cast("long").alias("n"))
+    low, high = F.col(x) - reach, F.col(x) + reach
+    near = F.explode(F.sequence(F.floor(low / reach), F.floor(high / reach)))
+    hits = left.where(F.col(x).isNotNull()).select(*key, low.alias("_low"), high.alias("_high"), near.alias("_bin")).join(binned, "_bin").where(F.col("_v").between(F.col("_low"), F.col("_high")))
+    every = hits.select(*key, "_n").unionByName(left.select(*key, F.lit(0).cast("long").alias("_n")))
+    return every.groupBy(*key).agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n"))
 
 
 def _cells(x: Column, y: Column, size: float) -> Column:

@@ -122,6 +122,23 @@ def test_gates(spark):
     assert none["clear"] and none["in_opening"] == 0
 
 
+def test_range_counts_are_those_of_their_sql(spark, tmp_path):
+    from isarithm.plans.catalog import oracle_sql, queries
+
+    duckdb = pytest.importorskip("duckdb")
+    # Ends of which the computed one falls short of the value, values between hundredths, keys that repeat or are missing.
+    nan, inf = float("nan"), float("inf")
+    s = [(1, 8241.95), (2, 100.1), (2, 100.1), (None, 0.0), (None, 7.0), (3, None), (4, nan), (5, inf), (6, -inf), (7, 1e300), (8, -100.1), (9, 0.004)]
+    c = [8191.95, 8291.95, 50.1, 150.1, 50.099, 50.0, -50.0, 57.001, -0.0, nan, nan, inf, -inf, 1e300, None, -150.1, -50.1, 50.0049, 50.004]
+    spark.createDataFrame(s, "s_suppkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame(list(enumerate(c)), "c_custkey long, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    got = sorted(map(repr, map(tuple, queries()["range_left_count"](spark, str(tmp_path)).select("s_suppkey", "n").collect())))
+    con = duckdb.connect()
+    for t in ("supplier", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert got == sorted(map(repr, con.execute(oracle_sql()["range_left_count"]).fetchall()))
+
+
 def test_lap(spark):
     df = spark.createDataFrame([("a", 1, 0.0, 0.0), ("a", 2, 30.0, 0.0), ("a", 3, 30.0, 40.0), ("b", 1, 5.0, 5.0)], "g string, i int, x double, y double")
     assert {r["g"]: r["length"] for r in sequence.ring_length(df, ["g"], ["i"], "x", "y").collect()} == {"a": 120.0, "b": 0.0}
