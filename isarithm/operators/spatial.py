@@ -136,7 +136,8 @@ def box_counts(gates: DataFrame, vertices: DataFrame, key: str, cell: float, ope
     A gate has x, y, z, size and yaw_deg, a vertex x, y, z (y up). The opening reaches, borders
     excluded, `size * opening[0]` across and up and `opening[1]` along the way through, to either side; the
     approach likewise. Gates meet
-    vertices, equal ones counted first, on the cells of space that their longer box can reach.
+    vertices, equal ones counted first, on the cells of space that their longer box can reach; both
+    sides are shuffled by cell, so the driver holds none of them.
     """
     from isarithm.functions.geometry import rotate_yaw
 
@@ -150,6 +151,7 @@ def box_counts(gates: DataFrame, vertices: DataFrame, key: str, cell: float, ope
     through, across = rotate_yaw(F.col("yaw_deg"))
     along, side = F.abs(dx * through["x"] + dz * through["z"]), F.abs(dx * across["x"] + dz * across["z"])
     within = lambda half, depth: (along < depth) & (side < F.col("size") * half) & (F.abs(dy) < F.col("size") * half)
-    counted = g.join(v, ["_cx", "_cy", "_cz"]).groupBy(key).agg(*[F.sum(F.when(within(*box), F.col("_n")).otherwise(0)).alias(n) for n, box in (("_o", opening), ("_t", tube))])
+    # The planner takes a gate's copies for no larger than the gate, and would send them all to the driver to broadcast them.
+    counted = g.hint("merge").join(v, ["_cx", "_cy", "_cz"]).groupBy(key).agg(*[F.sum(F.when(within(*box), F.col("_n")).otherwise(0)).alias(n) for n, box in (("_o", opening), ("_t", tube))])
     out = gates.select(key).join(counted, key, "left").select(key, F.coalesce("_o", F.lit(0)).cast("long").alias("in_opening"), F.coalesce("_t", F.lit(0)).cast("long").alias("in_approach"))
     return out.withColumn("clear", (F.col("in_opening") == 0) & (F.col("in_approach") == 0))

@@ -122,6 +122,14 @@ def test_gates(spark):
     assert none["clear"] and none["in_opening"] == 0
 
 
+def test_copies_of_gates_are_not_broadcast(spark):
+    # 2,000 gates pass for 100 kB, their copies over some 52 * 52 * 13 cells are 70 million rows.
+    gates = spark.range(2000).selectExpr("id AS ord", "id * 1.0D AS x", "0.0D AS y", "0.0D AS z", "50.0D AS size", "0.0D AS yaw_deg")
+    vertices = spark.range(1 << 20).selectExpr("id * 1.0D AS x", "0.0D AS y", "0.0D AS z")
+    plan = spatial.box_counts(gates, vertices, "ord", 4.0, (0.5, 1.5), (0.3, 100.0))._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [_cx" in plan and "BroadcastHashJoin [_cx" not in plan
+
+
 def test_range_counts_are_those_of_their_sql(spark, tmp_path):
     from isarithm.plans.catalog import oracle_sql, queries
 
