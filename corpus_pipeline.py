@@ -60,9 +60,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and the text decoded from them; the ids of a null text are none, and its text is then empty."""
-    coded = bpe.encode(docs, tokenizer_path(), keep_text=False)
-    back = bpe.decode(coded, tokenizer_path(), out_col="text")
-    return back.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_tokens", "ids")], "n_tokens", "ids")
+    return bpe.encode_and_decode(docs, tokenizer_path())
 
 
 STAGES = [

@@ -186,6 +186,11 @@ def _loaded(content: str) -> Bpe:
     return Bpe(content)
 
 
+def _packed(ids: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    """Number of ids of each text, and the ids as little-endian unsigned 32-bit integers."""
+    return [pa.array(np.diff(bounds)), pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * 4).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])]
+
+
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """Adds n_tokens and ids, the text's ids as little-endian unsigned 32-bit integers.
 
@@ -195,8 +200,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", keep_text: b
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def kernel(given: list[pa.Array]) -> list[pa.Array]:
-        ids, bounds = _loaded(shared.value).encode(given[0].to_pylist())
-        return [pa.array(np.diff(bounds)), pa.Array.from_buffers(pa.binary(), len(given[0]), [None, pa.py_buffer((bounds * 4).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])]
+        return _packed(*_loaded(shared.value).encode(given[0].to_pylist()))
 
     keep = [c for c in docs.columns if keep_text or c != text_col]
     return with_kernel(docs, [F.col(f"`{text_col}`").cast("string")], kernel, [("n_tokens", T.LongType()), ("ids", T.BinaryType())], keep, lambda batch: W.pieces(batch, 0, 1 << 20))
@@ -213,3 +217,21 @@ def decode(rows: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str =
 
     keep = [c for c in rows.columns if keep_ids or c != ids_col]
     return with_kernel(rows, [F.col(f"`{ids_col}`")], kernel, [(out_col, T.StringType())], keep, lambda batch: W.pieces(batch, 0, 1 << 20))
+
+
+def encode_and_decode(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
+    """Adds n_tokens and ids as encode does, and puts the text that the ids stand for in the text's place.
+
+    One kernel does both: encode and decode one after the other keep two Python workers a task.
+    """
+    with open(tokenizer, encoding="utf-8") as file:
+        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+
+    def kernel(given: list[pa.Array]) -> list[pa.Array]:
+        bpe = _loaded(shared.value)
+        ids, bounds = bpe.encode(given[0].to_pylist())
+        return [pa.array(bpe.decode(ids.astype(np.int64), bounds), pa.string()), *_packed(ids, bounds)]
+
+    new = [(text_col, T.StringType()), ("n_tokens", T.LongType()), ("ids", T.BinaryType())]
+    out = with_kernel(docs, [F.col(f"`{text_col}`").cast("string")], kernel, new, docs.columns, lambda batch: W.pieces(batch, 0, 1 << 20))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_tokens", "ids")], "n_tokens", "ids")

@@ -102,6 +102,17 @@ def test_bpe_equals_the_library(spark, docs, clashing):
     assert bpe.encode(docs.limit(0), tokenizer_path()).count() == 0
 
 
+def test_the_tokens_stage_keeps_one_worker_a_task(spark, docs, clashing):
+    import corpus_pipeline
+
+    for df in (docs, clashing):
+        got = corpus_pipeline.tokens(spark, df, "")
+        back = bpe.decode(bpe.encode(df, tokenizer_path(), keep_text=False), tokenizer_path(), out_col="text")
+        assert got.columns == [c for c in df.columns if c not in ("n_tokens", "ids")] + ["n_tokens", "ids"]
+        assert key(got) == key(back.select(*[F.col(f"`{c}`") for c in got.columns]))
+        assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_bpe_hard_texts():
     from tokenizers import Tokenizer
 
